@@ -138,10 +138,11 @@ def check_amounts(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
     ).withColumn("result", verdict(F.col("null_amounts") == 0, bad="HAS NULLS"))
 
 
-def check_unique(df: DataFrame, name: str, key: str) -> DataFrame:
+def check_unique(df: DataFrame, name: str, key: str | Sequence[str]) -> DataFrame:
     """Rows against distinct keys; missing keys count as duplicates."""
+    key = [key] if isinstance(key, str) else key
     return _named(
-        df.agg(rows().alias("total_rows"), F.count_distinct(key).alias("unique_keys")), name
+        df.agg(rows().alias("total_rows"), F.count_distinct(*key).alias("unique_keys")), name
     ).select(
         "*",
         (F.col("total_rows") - F.col("unique_keys")).alias("duplicates"),
