@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def date_key(day: Column | str) -> Column:
     """Integer ``yyyymmdd``; NULL stays NULL."""
     day = F.col(day) if isinstance(day, str) else day
-    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def fiscal_year(day: Column | str, first_month: int = 10) -> Column:

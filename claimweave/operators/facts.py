@@ -93,12 +93,11 @@ def union_headers(headers: dict[str, DataFrame]) -> DataFrame:
     """
 
     def shaped(claim_type: str, header: DataFrame) -> DataFrame:
-        tagged = _with_date_keys(header).withColumn("claim_type_key", F.lit(claim_type))
-        return tagged.select(
+        tagged = _with_date_keys(header.withColumn("claim_type_key", F.lit(claim_type)))
+        return tagged.selectExpr(
             *[
-                (F.col(name) if claim_type in CARRIED_BY.get(name, (claim_type,)) else F.lit(None))
-                .cast(kind)
-                .alias(name)
+                f"cast({name if claim_type in CARRIED_BY.get(name, (claim_type,)) else 'NULL'}"
+                f" AS {kind}) AS {name}"
                 for name, kind in CLAIM_COLUMNS.items()
             ]
         )
@@ -109,29 +108,24 @@ def union_headers(headers: dict[str, DataFrame]) -> DataFrame:
 def shape_headers(headers: DataFrame) -> DataFrame:
     """The same fact from one header table that holds all types, told apart by
     ``claim_type_key``: one pass instead of one branch per type."""
-    keyed = _with_date_keys(headers)
-    return keyed.select(
-        *[
-            (
-                F.when(F.col("claim_type_key").isin(*CARRIED_BY[name]), F.col(name))
-                if name in CARRIED_BY
-                else F.col(name)
-            )
-            .cast(kind)
-            .alias(name)
-            for name, kind in CLAIM_COLUMNS.items()
-        ]
+
+    def carried(name: str) -> str:
+        if name not in CARRIED_BY:
+            return name
+        types = ", ".join(f"'{claim_type}'" for claim_type in CARRIED_BY[name])
+        return f"CASE WHEN claim_type_key IN ({types}) THEN {name} END"
+
+    return _with_date_keys(headers).selectExpr(
+        *[f"cast({carried(name)} AS {kind}) AS {name}" for name, kind in CLAIM_COLUMNS.items()]
     )
 
 
 def unpivot_codes(df: DataFrame, prefix: str, width: int, ids: Sequence[str]) -> DataFrame:
     """``<prefix>1`` .. ``<prefix><width>`` as rows (code, position), without NULLs."""
-    pairs = [part for i in range(1, width + 1) for part in (F.col(f"{prefix}{i}"), F.lit(i))]
-    return df.select(
-        *ids, F.stack(F.lit(width), *pairs).alias("icd_dgns_cd", "dgns_position")
-    ).select(
-        *ids, "icd_dgns_cd", F.col("dgns_position").cast("smallint").alias("dgns_position")
-    ).where(F.col("icd_dgns_cd").isNotNull())
+    pairs = ", ".join(f"{prefix}{i}, cast({i} AS smallint)" for i in range(1, width + 1))
+    return df.selectExpr(
+        *ids, f"stack({width}, {pairs}) AS (icd_dgns_cd, dgns_position)"
+    ).where("icd_dgns_cd IS NOT NULL")
 
 
 def diagnosis_fact(headers: dict[str, DataFrame]) -> DataFrame:

@@ -4,13 +4,13 @@ The claim extracts are not at hand, so orders stand in for claims, order lines
 for claim lines, customers for persons, parts for diagnoses and events for drug
 events.  Every frame covers its whole source tables.  The text frames are
 written as an extract would be: dates like ``16-Aug-1999``, numbers as text,
-some fields blank or padded.
+some fields blank or padded.  Projections are SQL text, which builds faster than
+column objects and reads shorter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from claimweave.functions.casts import apply_layout
 from claimweave.operators.conditions import chronic_conditions
@@ -52,61 +52,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(15,2)")
+def _money(column: str) -> str:
+    return f"cast({column} AS decimal(15,2))"
 
 
-def _text_date(day: Column) -> Column:
-    return F.date_format(day, "dd-MMM-yyyy")
+def _text_date(day: str) -> str:
+    return f"date_format({day}, 'dd-MMM-yyyy')"
 
 
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+def _padded(number: str, width: int) -> str:
+    return f"lpad(cast({number} AS string), {width}, '0')"
 
 
-def _claim_type(by_priority: list[str], by_status: list[str]) -> Column:
+def _claim_type(by_priority: list[str], by_status: list[str]) -> str:
     """Seven types: four by order priority, three by status of the low priority."""
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-    return (
-        F.when(priority == "1-URGENT", by_priority[0])
-        .when(priority == "2-HIGH", by_priority[1])
-        .when(priority == "3-MEDIUM", by_priority[2])
-        .when(priority == "4-NOT SPECIFIED", by_priority[3])
-        .when(status == "F", by_status[0])
-        .when(status == "O", by_status[1])
-        .otherwise(by_status[2])
-    )
+    urgent, high, medium, unspecified = by_priority
+    final, open_, pending = by_status
+    return f"""CASE WHEN o_orderpriority = '1-URGENT' THEN '{urgent}'
+        WHEN o_orderpriority = '2-HIGH' THEN '{high}'
+        WHEN o_orderpriority = '3-MEDIUM' THEN '{medium}'
+        WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '{unspecified}'
+        WHEN o_orderstatus = 'F' THEN '{final}'
+        WHEN o_orderstatus = 'O' THEN '{open_}' ELSE '{pending}' END"""
+
+
+TYPE_KEY = _claim_type(["inpatient", "outpatient", "carrier", "dme"], ["snf", "hospice", "hha"])
+TYPE_CODE = _claim_type(["60", "40", "71", "82"], ["20", "50", "10"])
 
 
 def claim_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed claim headers of all types: one per order."""
-    customer = F.col("o_custkey")
-    day = F.to_date("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey"),
-        F.concat(F.lit("-"), customer).alias("bene_id"),
-        F.col("o_orderkey").cast("string").alias("clm_id"),
-        _claim_type(["60", "40", "71", "82"], ["20", "50", "10"]).alias("nch_clm_type_cd"),
-        _claim_type(
-            ["inpatient", "outpatient", "carrier", "dme"], ["snf", "hospice", "hha"]
-        ).alias("claim_type_key"),
-        day.alias("clm_from_dt"),
-        F.date_add(day, 3).alias("clm_thru_dt"),
-        _money("o_totalprice").alias("clm_pmt_amt"),
-        (_money("o_totalprice") + 100).cast("decimal(15,2)").alias("clm_tot_chrg_amt"),
-        F.concat(
-            F.lit("Z"),
-            F.substring("o_orderpriority", 1, 1),
-            F.when(F.col("o_orderstatus") == "P", ".").otherwise(""),
-            "o_orderstatus",
-        ).alias("prncpal_dgns_cd"),
-        _padded(customer % 50, 2).alias("prvdr_state_cd"),
-        _padded(customer, 10).alias("org_npi_num"),
-        day.alias("clm_admsn_dt"),
-        F.date_add(day, 3).alias("nch_bene_dschrg_dt"),
-        _padded(customer % 1000, 3).alias("clm_drg_cd"),
-        F.dayofmonth(day).alias("clm_utlztn_day_cnt"),
-        F.col("o_orderstatus").alias("ptnt_dschrg_stus_cd"),
+    day = "to_date(o_orderdate)"
+    amount = _money("o_totalprice")
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "concat('-', o_custkey) AS bene_id",
+        "cast(o_orderkey AS string) AS clm_id",
+        f"{TYPE_CODE} AS nch_clm_type_cd",
+        f"{TYPE_KEY} AS claim_type_key",
+        f"{day} AS clm_from_dt",
+        f"date_add({day}, 3) AS clm_thru_dt",
+        f"{amount} AS clm_pmt_amt",
+        f"cast({amount} + 100 AS decimal(15,2)) AS clm_tot_chrg_amt",
+        "concat('Z', left(o_orderpriority, 1), if(o_orderstatus = 'P', '.', ''), o_orderstatus)"
+        " AS prncpal_dgns_cd",
+        f"{_padded('o_custkey % 50', 2)} AS prvdr_state_cd",
+        f"{_padded('o_custkey', 10)} AS org_npi_num",
+        f"{day} AS clm_admsn_dt",
+        f"date_add({day}, 3) AS nch_bene_dschrg_dt",
+        f"{_padded('o_custkey % 1000', 3)} AS clm_drg_cd",
+        "day(o_orderdate) AS clm_utlztn_day_cnt",
+        "o_orderstatus AS ptnt_dschrg_stus_cd",
     )
 
 
@@ -114,34 +110,32 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim extract as text: header fields repeated on every line.
 
     Header text is made on the order side, once per claim, before the join."""
-    header = claim_headers(spark, sf_dir).select(
+    header = claim_headers(spark, sf_dir).selectExpr(
         "o_orderkey",
         "bene_id",
         "clm_id",
         "nch_clm_type_cd",
         "claim_type_key",
-        _text_date(F.col("clm_from_dt")).alias("clm_from_dt"),
-        _text_date(F.col("clm_thru_dt")).alias("clm_thru_dt"),
-        F.col("clm_pmt_amt").cast("string").alias("clm_pmt_amt"),
-        F.col("clm_tot_chrg_amt").cast("string").alias("clm_tot_chrg_amt"),
+        f"{_text_date('clm_from_dt')} AS clm_from_dt",
+        f"{_text_date('clm_thru_dt')} AS clm_thru_dt",
+        "cast(clm_pmt_amt AS string) AS clm_pmt_amt",
+        "cast(clm_tot_chrg_amt AS string) AS clm_tot_chrg_amt",
         "prncpal_dgns_cd",
-        F.concat(F.lit(" "), "prvdr_state_cd", F.lit(" ")).alias("prvdr_state_cd"),
+        "concat(' ', prvdr_state_cd, ' ') AS prvdr_state_cd",
         "org_npi_num",
-        _text_date(F.col("clm_admsn_dt")).alias("clm_admsn_dt"),
-        _text_date(F.col("nch_bene_dschrg_dt")).alias("nch_bene_dschrg_dt"),
+        f"{_text_date('clm_admsn_dt')} AS clm_admsn_dt",
+        f"{_text_date('nch_bene_dschrg_dt')} AS nch_bene_dschrg_dt",
         "clm_drg_cd",
-        F.col("clm_utlztn_day_cnt").cast("string").alias("clm_utlztn_day_cnt"),
-        F.when(F.col("ptnt_dschrg_stus_cd") == "P", "  ")
-        .otherwise(F.col("ptnt_dschrg_stus_cd"))
-        .alias("ptnt_dschrg_stus_cd"),
+        "cast(clm_utlztn_day_cnt AS string) AS clm_utlztn_day_cnt",
+        "if(ptnt_dschrg_stus_cd = 'P', '  ', ptnt_dschrg_stus_cd) AS ptnt_dschrg_stus_cd",
     )
-    line = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        F.col("l_linenumber").cast("string").alias("clm_line_num"),
-        _text_date(F.to_date("l_shipdate")).alias("rev_cntr_dt"),
-        F.col("l_partkey").cast("string").alias("hcpcs_cd"),
-        F.col("l_quantity").cast("int").cast("string").alias("rev_cntr_unit_cnt"),
-        _money("l_extendedprice").cast("string").alias("rev_cntr_tot_chrg_amt"),
+    line = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS o_orderkey",
+        "cast(l_linenumber AS string) AS clm_line_num",
+        f"{_text_date('to_date(l_shipdate)')} AS rev_cntr_dt",
+        "cast(l_partkey AS string) AS hcpcs_cd",
+        "cast(cast(l_quantity AS int) AS string) AS rev_cntr_unit_cnt",
+        f"cast({_money('l_extendedprice')} AS string) AS rev_cntr_tot_chrg_amt",
     )
     return line.join(header, "o_orderkey").drop("o_orderkey")
 
@@ -160,62 +154,52 @@ def raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Covered months come from bit sets of the months that have an order, which
     merge in any order and need no distinct."""
-    month_bit = F.expr("shiftleft(1, month(o_orderdate) - 1)")
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-
-    def months(condition: Column | None, name: str) -> Column:
-        bits = month_bit if condition is None else F.when(condition, month_bit)
-        return F.bit_count(F.bit_or(bits)).alias(name)
-
+    months = {
+        "part_a": "true",
+        "part_b": "o_orderstatus = 'F'",
+        "hmo": "o_orderstatus = 'O'",
+        "dual": "o_orderpriority = '1-URGENT'",
+        "part_d": "o_orderstatus IN ('O', 'P')",
+    }
     years = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("yr"))
-        .agg(
-            months(None, "part_a"),
-            months(status == "F", "part_b"),
-            months(status == "O", "hmo"),
-            months(priority == "1-URGENT", "dual"),
-            months(status.isin("O", "P"), "part_d"),
+        .selectExpr(
+            "o_custkey AS c_custkey",
+            "year(o_orderdate) AS yr",
+            *[
+                f"CASE WHEN {condition} THEN shiftleft(1, month(o_orderdate) - 1) END AS {name}"
+                for name, condition in months.items()
+            ],
+        )
+        .groupBy("c_custkey", "yr")
+        .agg({name: "bit_or" for name in months})
+        .selectExpr(
+            "c_custkey", "yr", *[f"bit_count(`bit_or({name})`) AS {name}" for name in months]
         )
     )
-    persons = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"
-        ),
-        "c_nationkey",
-    )
-    key = F.col("c_custkey")
-    birth = F.date_add(F.lit("1930-01-01").cast("date"), (key % 20000).cast("int"))
-    unknown_birth = key % 11 == 0
-    segment = F.col("c_mktsegment")
-    return years.join(persons, "c_custkey").select(
-        F.concat(F.lit("-"), key).alias("bene_id"),
-        F.col("yr").cast("string").alias("bene_enrollmt_ref_yr"),
-        _padded(F.col("c_nationkey"), 2).alias("state_code"),
-        _padded(key % 1000, 3).alias("county_cd"),
-        _padded(key % 100000, 5).alias("zip_cd"),
-        F.when(unknown_birth, "").otherwise(_text_date(birth)).alias("bene_birth_dt"),
-        F.when(F.col("c_acctbal") < 0, "15-Jun-2001").otherwise(" ").alias("bene_death_dt"),
-        F.when(segment.isin("AUTOMOBILE", "FURNITURE"), "1")
-        .when(segment.isin("BUILDING", "HOUSEHOLD"), "2")
-        .otherwise("9")
-        .alias("sex_ident_cd"),
-        (F.col("n_regionkey") + 1).cast("string").alias("rti_race_cd"),
-        F.when(unknown_birth, "N/A")
-        .otherwise((F.col("yr") - 1930).cast("string"))
-        .alias("age_at_end_ref_yr"),
-        F.when(F.col("c_acctbal") > 5000, "Y").otherwise("0").alias("esrd_ind"),
-        F.lit("0").alias("entlmt_rsn_orig"),
-        (F.col("yr") % 10).cast("string").alias("entlmt_rsn_curr"),
-        F.least(F.lit(12), F.col("part_a") * 6).cast("string").alias("bene_hi_cvrage_tot_mons"),
-        F.least(F.lit(12), F.coalesce("part_b", F.lit(0)) * 6)
-        .cast("string")
-        .alias("bene_smi_cvrage_tot_mons"),
-        F.coalesce("hmo", F.lit(0)).cast("string").alias("bene_hmo_cvrage_tot_mons"),
-        F.col("dual").cast("string").alias("dual_elgbl_mons"),
-        F.least(F.lit(12), F.coalesce("part_d", F.lit(0)) * 6)
-        .cast("string")
-        .alias("ptd_plan_cvrg_mons"),
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_regionkey")
+    persons = table(spark, sf_dir, "customer").join(nation, "c_nationkey")
+    birth = _text_date("date_add(date'1930-01-01', cast(c_custkey % 20000 AS int))")
+    return years.join(persons, "c_custkey").selectExpr(
+        "concat('-', c_custkey) AS bene_id",
+        "cast(yr AS string) AS bene_enrollmt_ref_yr",
+        f"{_padded('c_nationkey', 2)} AS state_code",
+        f"{_padded('c_custkey % 1000', 3)} AS county_cd",
+        f"{_padded('c_custkey % 100000', 5)} AS zip_cd",
+        f"if(c_custkey % 11 = 0, '', {birth}) AS bene_birth_dt",
+        "if(c_acctbal < 0, '15-Jun-2001', ' ') AS bene_death_dt",
+        "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'FURNITURE') THEN '1'"
+        " WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN '2' ELSE '9' END AS sex_ident_cd",
+        "cast(n_regionkey + 1 AS string) AS rti_race_cd",
+        "if(c_custkey % 11 = 0, 'N/A', cast(yr - 1930 AS string)) AS age_at_end_ref_yr",
+        "if(c_acctbal > 5000, 'Y', '0') AS esrd_ind",
+        "'0' AS entlmt_rsn_orig",
+        "cast(yr % 10 AS string) AS entlmt_rsn_curr",
+        "cast(least(12, part_a * 6) AS string) AS bene_hi_cvrage_tot_mons",
+        "cast(least(12, coalesce(part_b, 0) * 6) AS string) AS bene_smi_cvrage_tot_mons",
+        "cast(coalesce(hmo, 0) AS string) AS bene_hmo_cvrage_tot_mons",
+        "cast(dual AS string) AS dual_elgbl_mons",
+        "cast(least(12, coalesce(part_d, 0) * 6) AS string) AS ptd_plan_cvrg_mons",
     )
 
 
@@ -237,44 +221,38 @@ def wide_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
     The part behind a line gives its code: sizes up to 15 the stem of the
     brand, larger ones a code no rule knows.  Lines are pivoted while the code
     is a number, which aggregates in a hash map; text would be sorted."""
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        (F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int") * 100 + F.col("p_size")).alias(
-            "code_no"
-        ),
+    positions = range(1, DX_WIDTH + 1)
+    part = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS l_partkey",
+        r"cast(regexp_extract(p_brand, '(\\d+)$', 1) AS int) * 100 + p_size AS code_no",
     )
-    numbers = [f"n{i}" for i in range(1, DX_WIDTH + 1)]
     pivoted = (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_linenumber", "l_partkey")
         .join(part, "l_partkey")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(
-            *[
-                F.max(F.when(F.col("l_linenumber") == i, F.col("code_no"))).alias(f"n{i}")
-                for i in range(1, DX_WIDTH + 1)
-            ]
+        .selectExpr(
+            "l_orderkey AS o_orderkey",
+            *[f"CASE WHEN l_linenumber = {i} THEN code_no END AS n{i}" for i in positions],
         )
+        .groupBy("o_orderkey")
+        .max(*[f"n{i}" for i in positions])
+        .toDF("o_orderkey", *[f"n{i}" for i in positions])
     )
+    stems = ", ".join(f"'{stem}'" for stem in STEMS)
 
-    def code(number: Column) -> Column:
-        brand, size = F.floor(number / 100).cast("int"), number % 100
-        stem = F.when(size <= 15, F.element_at(F.array(*map(F.lit, STEMS)), brand)).otherwise(
-            F.concat(F.lit("Z"), _padded(brand, 2))
-        )
-        return F.when(number.isNotNull(), F.concat(stem, (size % 10).cast("string")))
+    def code(i: int) -> str:
+        brand = f"cast(floor(n{i} / 100) AS int)"
+        stem = f"""if(n{i} % 100 <= 15, element_at(array({stems}), {brand}),
+            concat('Z', {_padded(brand, 2)}))"""
+        return f"""CASE WHEN n{i} IS NOT NULL THEN concat({stem}, cast(n{i} % 10 AS string)) END
+            AS icd_dgns_cd{i}"""
 
+    ids = ["clm_id", "bene_id", "claim_type_key", "clm_from_dt"]
     return (
         claim_headers(spark, sf_dir)
-        .select("o_orderkey", "clm_id", "bene_id", "claim_type_key", "clm_from_dt")
+        .select("o_orderkey", *ids)
         .join(pivoted, "o_orderkey")
-        .select(
-            "clm_id",
-            "bene_id",
-            "claim_type_key",
-            "clm_from_dt",
-            *[code(F.col(n)).alias(f"icd_dgns_cd{i}") for i, n in enumerate(numbers, 1)],
-        )
+        .selectExpr(*ids, *[code(i) for i in positions])
     )
 
 
@@ -298,34 +276,26 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_pde(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drug event extract as text: one row per event."""
     value = _money("value")
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string").alias("pde_id"),
-        F.concat(F.lit("-"), "user_id").alias("bene_id"),
-        _text_date(F.to_date("ts")).alias("srvc_dt"),
-        F.when(kind == "error", F.concat(F.lit("X"), _padded(F.col("user_id"), 8)))
-        .otherwise(_padded(F.col("user_id"), 11))
-        .alias("prod_srvc_id"),
-        kind.alias("prscrbr_id"),
-        F.concat(F.lit("  "), kind).alias("plan_cntrct_rec_id"),
-        F.when(kind == "signup", value.cast("string"))
-        .otherwise(F.floor(value).cast("string"))
-        .alias("days_suply_num"),
-        value.cast("string").alias("qty_dspnsd_num"),
-        F.regexp_extract("props", r"(\d+)", 1).alias("fill_num"),
-        F.when(kind.isin("view", "purchase"), "B")
-        .when(kind.isin("click", "signup"), "G")
-        .otherwise("")
-        .alias("brnd_gnrc_cd"),
-        F.when(kind.isin("view", "click"), "C")
-        .when(kind == "purchase", "E")
-        .when(kind == "signup", "O")
-        .otherwise("X")
-        .alias("drug_cvrg_stus_cd"),
-        value.cast("string").alias("tot_rx_cst_amt"),
-        F.when(kind == "click", "N/A").otherwise(value.cast("string")).alias("ptnt_pay_amt"),
-        F.lit("0").alias("cvrd_d_plan_pd_amt"),
-        F.lit(None).cast("string").alias("lics_amt"),
+    text = f"cast({value} AS string)"
+    return table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id AS string) AS pde_id",
+        "concat('-', user_id) AS bene_id",
+        f"{_text_date('to_date(ts)')} AS srvc_dt",
+        f"if(event_type = 'error', concat('X', {_padded('user_id', 8)}),"
+        f" {_padded('user_id', 11)}) AS prod_srvc_id",
+        "event_type AS prscrbr_id",
+        "concat('  ', event_type) AS plan_cntrct_rec_id",
+        f"if(event_type = 'signup', {text}, cast(floor({value}) AS string)) AS days_suply_num",
+        f"{text} AS qty_dspnsd_num",
+        r"regexp_extract(props, '(\\d+)', 1) AS fill_num",
+        "CASE WHEN event_type IN ('view', 'purchase') THEN 'B'"
+        " WHEN event_type IN ('click', 'signup') THEN 'G' ELSE '' END AS brnd_gnrc_cd",
+        "CASE WHEN event_type IN ('view', 'click') THEN 'C' WHEN event_type = 'purchase' THEN 'E'"
+        " WHEN event_type = 'signup' THEN 'O' ELSE 'X' END AS drug_cvrg_stus_cd",
+        f"{text} AS tot_rx_cst_amt",
+        f"if(event_type = 'click', 'N/A', {text}) AS ptnt_pay_amt",
+        "'0' AS cvrd_d_plan_pd_amt",
+        "cast(NULL AS string) AS lics_amt",
     )
 
 
@@ -336,52 +306,46 @@ def pde(spark: SparkSession, sf_dir: str) -> DataFrame:
 def code_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A code hierarchy: order under customer under nation under region."""
 
-    def level(name: str, prefix: str, key: str, up: str | None, up_key: str | None, text: str):
-        return table(spark, sf_dir, name).select(
-            F.concat(F.lit(prefix), key).alias("code"),
-            (F.concat(F.lit(up), up_key) if up else F.lit(None).cast("string")).alias("parent"),
-            F.col(text).alias("description"),
+    def level(name: str, code: str, parent: str, description: str) -> DataFrame:
+        return table(spark, sf_dir, name).selectExpr(
+            f"{code} AS code", f"{parent} AS parent", f"{description} AS description"
         )
 
     return (
-        level("orders", "O", "o_orderkey", "C", "o_custkey", "o_orderpriority")
-        .unionByName(level("customer", "C", "c_custkey", "N", "c_nationkey", "c_name"))
-        .unionByName(level("nation", "N", "n_nationkey", "R", "n_regionkey", "n_name"))
-        .unionByName(level("region", "R", "r_regionkey", None, None, "r_name"))
+        level("orders", "concat('O', o_orderkey)", "concat('C', o_custkey)", "o_orderpriority")
+        .unionByName(
+            level("customer", "concat('C', c_custkey)", "concat('N', c_nationkey)", "c_name")
+        )
+        .unionByName(
+            level("nation", "concat('N', n_nationkey)", "concat('R', n_regionkey)", "n_name")
+        )
+        .unionByName(level("region", "concat('R', r_regionkey)", "cast(NULL AS string)", "r_name"))
     )
 
 
 def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text as people type it, made from order lines: padded, blank, not a
     number, a decimal where a whole number belongs, impossible dates."""
-    key = F.col("l_orderkey")
-    day = F.to_date("l_shipdate")
-    number = _money("l_extendedprice").cast("string")
-    return table(spark, sf_dir, "lineitem").select(
+    day = "to_date(l_shipdate)"
+    number = f"cast({_money('l_extendedprice')} AS string)"
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_linenumber",
-        F.when(key % 7 == 0, "   ")
-        .when(key % 11 == 0, F.concat(F.lit("  "), "l_returnflag", F.lit(" ")))
-        .otherwise(F.col("l_returnflag"))
-        .alias("text_in"),
-        F.when(key % 7 == 0, "")
-        .when(key % 11 == 0, "N/A")
-        .when(key % 13 == 0, F.concat(F.lit("31-Feb-"), F.year(day)))
-        .when(key % 17 == 0, F.upper(_text_date(day)))
-        .when(key % 19 == 0, F.date_format(day, "d-MMM-yyyy"))
-        .when(key % 23 == 0, day.cast("string"))
-        .otherwise(F.concat(F.lit(" "), _text_date(day)))
-        .alias("date_in"),
-        F.when(key % 7 == 0, " ")
-        .when(key % 11 == 0, "N/A")
-        .when(key % 13 == 0, F.concat(F.lit("-"), number, F.lit("6")))
-        .when(key % 17 == 0, F.concat(F.lit("99999999999999"), number))
-        .otherwise(F.concat(F.lit("  "), number))
-        .alias("numeric_in"),
-        F.when(key % 7 == 0, "")
-        .when(key % 11 == 0, "N/A")
-        .when(key % 13 == 0, F.concat(F.col("l_linenumber"), F.lit(".5")))
-        .when(key % 17 == 0, F.concat(F.lit(" -"), key, F.lit(" ")))
-        .otherwise(key.cast("string"))
-        .alias("int_in"),
+        """CASE WHEN l_orderkey % 7 = 0 THEN '   '
+            WHEN l_orderkey % 11 = 0 THEN concat('  ', l_returnflag, ' ')
+            ELSE l_returnflag END AS text_in""",
+        f"""CASE WHEN l_orderkey % 7 = 0 THEN '' WHEN l_orderkey % 11 = 0 THEN 'N/A'
+            WHEN l_orderkey % 13 = 0 THEN concat('31-Feb-', year({day}))
+            WHEN l_orderkey % 17 = 0 THEN upper({_text_date(day)})
+            WHEN l_orderkey % 19 = 0 THEN date_format({day}, 'd-MMM-yyyy')
+            WHEN l_orderkey % 23 = 0 THEN cast({day} AS string)
+            ELSE concat(' ', {_text_date(day)}) END AS date_in""",
+        f"""CASE WHEN l_orderkey % 7 = 0 THEN ' ' WHEN l_orderkey % 11 = 0 THEN 'N/A'
+            WHEN l_orderkey % 13 = 0 THEN concat('-', {number}, '6')
+            WHEN l_orderkey % 17 = 0 THEN concat('99999999999999', {number})
+            ELSE concat('  ', {number}) END AS numeric_in""",
+        """CASE WHEN l_orderkey % 7 = 0 THEN '' WHEN l_orderkey % 11 = 0 THEN 'N/A'
+            WHEN l_orderkey % 13 = 0 THEN concat(l_linenumber, '.5')
+            WHEN l_orderkey % 17 = 0 THEN concat(' -', l_orderkey, ' ')
+            ELSE cast(l_orderkey AS string) END AS int_in""",
     )
