@@ -90,37 +90,27 @@ def build_beneficiary_dim(snapshots: DataFrame) -> DataFrame:
     and shuffled once.  A snapshot without a year counts as the latest, and a
     hash of the attributes settles two snapshots of one year.
     """
-    attributes = F.struct(*PERSON_ATTRIBUTES)
-    year = F.col("enrollmt_ref_yr")
-    recency = F.struct(
-        year.isNull().alias("undated"),
-        F.coalesce(year, F.lit(0).cast("smallint")).alias("year"),
-        F.xxhash64(*PERSON_ATTRIBUTES).alias("tie"),
-    )
+    attributes = ", ".join(PERSON_ATTRIBUTES)
+    # a missing year first, then the year, then the tie-break
+    recency = f"struct(enrollmt_ref_yr IS NULL, enrollmt_ref_yr, xxhash64({attributes}))"
     persons = (
-        snapshots.where(F.col("bene_id").isNotNull())
+        snapshots.where("bene_id IS NOT NULL")
         .groupBy("bene_id")
         .agg(
-            F.max_by(attributes, recency).alias("latest"),
-            F.min(year).alias("first_year_in_data"),
-            F.max(year).alias("last_year_in_data"),
+            F.expr(f"max_by(struct({attributes}), {recency})").alias("latest"),
+            F.min("enrollmt_ref_yr").alias("first_year_in_data"),
+            F.max("enrollmt_ref_yr").alias("last_year_in_data"),
             F.count(F.lit(1)).cast("smallint").alias("years_in_data"),
         )
     )
-    latest = F.col("latest")
     return persons.select(
         "bene_id",
-        latest.bene_birth_dt.alias("bene_birth_dt"),
-        latest.bene_death_dt.alias("bene_death_dt"),
-        decode(latest.sex_ident_cd, SEX).alias("sex_desc"),
-        decode(latest.rti_race_cd, RACE).alias("race_desc"),
-        latest.bene_death_dt.isNull().alias("is_alive"),
-        latest.state_code.alias("state_code"),
-        latest.county_cd.alias("county_cd"),
-        latest.zip_cd.alias("zip_cd"),
-        latest.esrd_ind.alias("esrd_ind"),
-        latest.entlmt_rsn_orig.alias("entlmt_rsn_orig"),
-        latest.entlmt_rsn_curr.alias("entlmt_rsn_curr"),
+        "latest.bene_birth_dt",
+        "latest.bene_death_dt",
+        decode("latest.sex_ident_cd", SEX).alias("sex_desc"),
+        decode("latest.rti_race_cd", RACE).alias("race_desc"),
+        F.expr("latest.bene_death_dt IS NULL").alias("is_alive"),
+        *[f"latest.{name}" for name in PERSON_ATTRIBUTES[4:]],
         "first_year_in_data",
         "last_year_in_data",
         "years_in_data",
@@ -138,57 +128,49 @@ def flatten_hierarchy(codes: DataFrame, max_depth: int = 8) -> DataFrame:
     side that is unique on the join key.  A chain longer than ``max_depth``
     (so also a cycle) fails the job.
     """
-    parents = (
-        codes.where(F.col("parent").isNotNull()).select(F.col("parent").alias("code")).distinct()
-    )
+    parents = codes.where("parent IS NOT NULL").selectExpr("parent AS code").distinct()
     inner = codes.join(parents, "code", "left_semi")
-    step = inner.select(
-        F.col("code").alias("above"),
-        F.col("parent").alias("above_parent"),
-        F.col("description").alias("above_desc"),
+    step = inner.selectExpr(
+        "code AS above", "parent AS above_parent", "description AS above_desc"
     )
 
-    chain = inner.select(
-        F.col("code").alias("node"),
-        F.col("description").alias("node_desc"),
-        F.col("parent").alias("second"),
-        F.lit(None).cast("string").alias("second_desc"),
-        F.col("code").alias("top"),
-        F.col("description").alias("top_desc"),
-        F.col("parent").alias("next"),
+    # top is the highest ancestor reached so far, next the one above it
+    chain = inner.selectExpr(
+        "code AS node",
+        "description AS node_desc",
+        "parent AS second",
+        "cast(NULL AS string) AS second_desc",
+        "code AS top",
+        "description AS top_desc",
+        "parent AS next",
     )
     for level in range(max_depth):
-        climbed = F.col("next").isNotNull()
-        chain = chain.join(step, F.col("next") == F.col("above"), "left").select(
+        chain = chain.join(step, F.expr("next = above"), "left").selectExpr(
             "node",
             "node_desc",
             "second",
-            (F.col("above_desc") if level == 0 else F.col("second_desc")).alias("second_desc"),
-            F.when(climbed, F.col("next")).otherwise(F.col("top")).alias("top"),
-            F.when(climbed, F.col("above_desc")).otherwise(F.col("top_desc")).alias("top_desc"),
-            F.col("above_parent").alias("next"),
+            f"{'above_desc' if level == 0 else 'second_desc'} AS second_desc",
+            "coalesce(next, top) AS top",
+            "if(next IS NULL, top_desc, above_desc) AS top_desc",
+            "above_parent AS next",
         )
-    too_deep = F.raise_error(
-        F.format_string("hierarchy above %s is deeper than %s", "node", F.lit(max_depth))
-    )
-    chain = chain.withColumn(
-        "top", F.when(F.col("next").isNotNull(), too_deep.cast("string")).otherwise(F.col("top"))
-    )
+    too_deep = f"raise_error(concat('hierarchy above ', node, ' is deeper than {max_depth}'))"
+    chain = chain.withColumn("top", F.expr(f"if(next IS NULL, top, {too_deep})"))
 
-    is_inner = parents.select("code", F.lit(True).alias("is_inner"))
+    is_inner = parents.selectExpr("code", "true AS is_inner")
     return (
-        codes.join(chain, F.col("parent") == F.col("node"), "left")
+        codes.join(chain, F.expr("parent = node"), "left")
         .join(is_inner, "code", "left")
-        .select(
-            F.col("code").alias("icd_dgns_cd"),
+        .selectExpr(
+            "code AS icd_dgns_cd",
             "description",
-            F.col("is_inner").isNull().alias("is_billable"),
-            F.coalesce("top", "parent").alias("chapter_num"),
-            F.col("top_desc").alias("chapter_desc"),
-            F.col("second").alias("block_code"),
-            F.col("second_desc").alias("block_desc"),
-            F.col("parent").alias("parent_code"),
-            F.col("node_desc").alias("parent_desc"),
+            "is_inner IS NULL AS is_billable",
+            "coalesce(top, parent) AS chapter_num",
+            "top_desc AS chapter_desc",
+            "second AS block_code",
+            "second_desc AS block_desc",
+            "parent AS parent_code",
+            "node_desc AS parent_desc",
         )
     )
 

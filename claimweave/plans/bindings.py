@@ -48,8 +48,27 @@ STEMS = """
 DX_WIDTH = 7
 
 
+# Schemas of the source tables; stating them saves a job per table that would
+# open a file to find out.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _money(column: str) -> str:
@@ -109,9 +128,11 @@ def claim_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim extract as text: header fields repeated on every line.
 
-    Header text is made on the order side, once per claim, before the join."""
+    Header text is made on the order side, once per claim, before the join.
+    Both sides grow with the data, so the join is a sort-merge on the claim id,
+    which leaves the lines of a claim together: splitting off the headers needs
+    no second shuffle."""
     header = claim_headers(spark, sf_dir).selectExpr(
-        "o_orderkey",
         "bene_id",
         "clm_id",
         "nch_clm_type_cd",
@@ -130,14 +151,14 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(ptnt_dschrg_stus_cd = 'P', '  ', ptnt_dschrg_stus_cd) AS ptnt_dschrg_stus_cd",
     )
     line = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS o_orderkey",
+        "cast(l_orderkey AS string) AS clm_id",
         "cast(l_linenumber AS string) AS clm_line_num",
         f"{_text_date('to_date(l_shipdate)')} AS rev_cntr_dt",
         "cast(l_partkey AS string) AS hcpcs_cd",
         "cast(cast(l_quantity AS int) AS string) AS rev_cntr_unit_cnt",
         f"cast({_money('l_extendedprice')} AS string) AS rev_cntr_tot_chrg_amt",
     )
-    return line.join(header, "o_orderkey").drop("o_orderkey")
+    return line.join(header.hint("merge"), "clm_id")
 
 
 def staged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
