@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.labels import bucket, bucket_order
+from claimweave.operators.lookup import lookup
 
 
 def denormalize(df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Copy columns from a dimension; rows it does not know keep NULL."""
-    return df.join(dim.select(key, *columns), key, "left")
+    return lookup(df, dim, key, columns)
 
 
 def confirmed_per_person(conditions: DataFrame) -> DataFrame:
@@ -36,12 +37,10 @@ def condition_counts(
     person and no row is multiplied.
     """
     count = F.coalesce("condition_count", F.lit(0).cast("bigint"))
-    return denormalize(
-        persons.select("bene_id", "sex_desc"),
-        confirmed_per_person(conditions),
-        "bene_id",
-        ["condition_count", "first_claim_date_key"],
-    ).select(
+    joined = persons.select("bene_id", "sex_desc").join(
+        confirmed_per_person(conditions), "bene_id", "left"
+    )
+    return joined.select(
         "bene_id",
         count.alias("condition_count"),
         bucket(count, cap).alias("condition_group"),
@@ -54,10 +53,8 @@ def condition_counts(
 def tag_claims(claims: DataFrame, counts: DataFrame) -> DataFrame:
     """Claims with the condition bucket of their person.  Claims of a person the
     counts do not know keep a NULL bucket but sort as zero."""
-    buckets = counts.select(
-        "bene_id", "condition_group", F.col("sort_order").alias("condition_sort_order")
-    )
-    return denormalize(
+    buckets = counts.withColumnRenamed("sort_order", "condition_sort_order")
+    return lookup(
         claims, buckets, "bene_id", ["condition_group", "condition_sort_order"]
     ).withColumn(
         "condition_sort_order",
@@ -93,10 +90,22 @@ def cohort_members(
 def cohort_claims(claims: DataFrame, members: DataFrame) -> DataFrame:
     """Claims of cohort members, labelled with their group.  Membership is one
     table, unique per person, so the claims are joined once."""
-    return claims.join(members, "bene_id").select(
-        "patient_group",
+    wanted = claims.select(
         "claim_type_key",
         "clm_pmt_amt",
         "bene_id",
         F.col("from_date_key").alias("first_claim_date_key"),
     )
+    return lookup(wanted, members, "bene_id", ["patient_group"], "inner").select(
+        "patient_group", "claim_type_key", "clm_pmt_amt", "bene_id", "first_claim_date_key"
+    )
+
+
+def payments_per_person(claims: DataFrame, *by: str) -> DataFrame:
+    """Claims and payments summed up per person (and ``by``), before any join:
+    a person with very many claims becomes a few rows inside the map tasks."""
+    return claims.groupBy("bene_id", *by).agg(
+        F.count(F.lit(1)).alias("claims"),
+        F.count("clm_pmt_amt").alias("paid_claims"),
+        F.sum("clm_pmt_amt").alias("total_payment"),
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions.dates import date_key, fiscal_quarter, fiscal_year, padded_name
 from claimweave.functions.labels import RACE, SEX, decode
 from claimweave.operators.keys import first_per_key
+from claimweave.operators.lineage import cut_lineage
 from claimweave.sources.local_rows import literal_table
 
 # Claim types with their part A / part B flags and type code.
@@ -124,12 +125,13 @@ def flatten_hierarchy(codes: DataFrame, max_depth: int = 8) -> DataFrame:
     and whether the code is a leaf.  ``code`` must be unique.
 
     Only inner nodes are walked up, one join per level; leaves, which are most
-    of a tree, look up their parent's finished chain once.  Every join has a
-    side that is unique on the join key.  A chain longer than ``max_depth``
-    (so also a cycle) fails the job.
+    of a tree, look up their parent's finished chain once.  The inner nodes are
+    needed on every level, so they are checkpointed.  Every join has a side that
+    is unique on the join key and freshly shuffled, which lets Spark split a hot
+    parent.  A chain longer than ``max_depth`` (so also a cycle) fails the job.
     """
     parents = codes.where("parent IS NOT NULL").selectExpr("parent AS code").distinct()
-    inner = codes.join(parents, "code", "left_semi")
+    inner = cut_lineage(codes.join(parents, "code", "left_semi"))
     step = inner.selectExpr(
         "code AS above", "parent AS above_parent", "description AS above_desc"
     )

@@ -204,6 +204,37 @@ def avg_payment_by_bucket(tagged_claims: DataFrame) -> DataFrame:
     )
 
 
+def _pooled_avg() -> Column:
+    paid = F.nullif(F.sum("paid_claims"), F.lit(0)).cast("decimal(20,0)")
+    return F.round(F.sum("total_payment") / paid, 2)
+
+
+def person_avg_payment_by_bucket(payments: DataFrame, counts: DataFrame) -> DataFrame:
+    """:func:`avg_payment_by_bucket` of payments per person: the same figures
+    without joining single claims.  Persons the counts do not know have no
+    bucket and sort as zero."""
+    buckets = counts.select("bene_id", "condition_group", "sort_order")
+    return (
+        payments.join(buckets, "bene_id", "left")
+        .groupBy(
+            "condition_group",
+            F.coalesce("sort_order", F.lit(0).cast("smallint")).alias("condition_sort_order"),
+        )
+        .agg(F.sum("claims").alias("claims"), _pooled_avg().alias("avg_payment"))
+        .orderBy("condition_sort_order")
+    )
+
+
+def person_cohort_costs(payments: DataFrame, members: DataFrame) -> DataFrame:
+    """:func:`cohort_costs` of payments per person and claim type."""
+    return (
+        payments.join(members, "bene_id")
+        .groupBy("patient_group", "claim_type_key")
+        .agg(F.sum("claims").alias("claims"), _pooled_avg().alias("avg_payment"))
+        .orderBy("patient_group", "claim_type_key")
+    )
+
+
 def slice_counts(
     counts: DataFrame,
     calendar: DataFrame,

@@ -129,10 +129,11 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim extract as text: header fields repeated on every line.
 
     Header text is made on the order side, once per claim, before the join.
-    Both sides grow with the data, so the join is a sort-merge on the claim id,
-    which leaves the lines of a claim together: splitting off the headers needs
-    no second shuffle."""
+    Both sides grow with the data, so neither is broadcast.  The join key is the
+    number and not the claim id: whatever groups by claim id afterwards has a
+    shuffle of its own, so a hot order can be split over many join tasks."""
     header = claim_headers(spark, sf_dir).selectExpr(
+        "o_orderkey",
         "bene_id",
         "clm_id",
         "nch_clm_type_cd",
@@ -151,14 +152,14 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(ptnt_dschrg_stus_cd = 'P', '  ', ptnt_dschrg_stus_cd) AS ptnt_dschrg_stus_cd",
     )
     line = table(spark, sf_dir, "lineitem").selectExpr(
-        "cast(l_orderkey AS string) AS clm_id",
+        "l_orderkey AS o_orderkey",
         "cast(l_linenumber AS string) AS clm_line_num",
         f"{_text_date('to_date(l_shipdate)')} AS rev_cntr_dt",
         "cast(l_partkey AS string) AS hcpcs_cd",
         "cast(cast(l_quantity AS int) AS string) AS rev_cntr_unit_cnt",
         f"cast({_money('l_extendedprice')} AS string) AS rev_cntr_tot_chrg_amt",
     )
-    return line.join(header.hint("merge"), "clm_id")
+    return line.join(header.hint("merge"), "o_orderkey").drop("o_orderkey")
 
 
 def staged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
