@@ -6,10 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def date_key(day: Column | str) -> Column:
-    """Integer ``yyyymmdd``; NULL stays NULL."""
-    day = F.col(day) if isinstance(day, str) else day
-    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+def date_key_sql(day: str) -> str:
+    return f"year({day}) * 10000 + month({day}) * 100 + day({day})"
+
+
+def date_key(day: str) -> Column:
+    """Integer ``yyyymmdd`` of a date column; NULL stays NULL."""
+    return F.expr(date_key_sql(day))
 
 
 def fiscal_year(day: Column | str, first_month: int = 10) -> Column:

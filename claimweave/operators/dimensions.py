@@ -29,7 +29,7 @@ def calendar_days(bounds: DataFrame, first: str, last: str, fiscal_start: int =
     return bounds.select(
         F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("full_date")
     ).select(
-        date_key(day).alias("date_key"),
+        date_key("full_date").alias("date_key"),
         day,
         F.year(day).cast("smallint").alias("year"),
         F.quarter(day).cast("smallint").alias("quarter"),

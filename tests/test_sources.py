@@ -1,5 +1,6 @@
 import pytest
 
+from claimweave.session import shuffle_partitions
 from claimweave.sources import layouts
 from claimweave.sources.files import read_code_list, read_text_table, write_table
 from claimweave.sources.layouts import CLAIM_LAYOUTS, cols, header_fields, line_fields, names, series
@@ -47,6 +48,19 @@ def test_text_table_reads_many_files_and_can_check_headers(spark, tmp_path, rows
         read_text_table(spark, paths, ["b", "a"], check_header=True).collect()
 
 
+def test_rows_of_the_wrong_width_fail(spark, tmp_path):
+    for name, line in (("short", "1"), ("long", "1|2|3")):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(f"A|B\nx|y\n{line}\n")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_text_table(spark, str(path), ["a", "b"]).collect()
+
+
+def test_shuffle_partitions_follow_the_size():
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(10_000) == 40_000
+
+
 def test_line_breaks_inside_quotes(spark, tmp_path, rows_of):
     path = tmp_path / "t.csv"
     path.write_text('A|B\n1|"two\nlines"\n')
