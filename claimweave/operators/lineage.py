@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the session's checkpoint folder and go on from there.
 
-    On a cluster that is the shared folder in ``spark.checkpoint.dir``, so the
-    rows outlive any executor.  Only where none is set, as in tests, a local one
-    is made.
+    The folder is the shared one the cluster names in ``spark.checkpoint.dir``,
+    so the rows outlive any executor.  A local session without one gets a
+    temporary folder; a cluster without one is an error.
     """
-    context = df.sparkSession.sparkContext
+    session = df.sparkSession
+    context = session.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None)
-            or tempfile.mkdtemp(prefix="claimweave-checkpoint-")
-        )
+        folder = session.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="claimweave-checkpoint-"))
     return df.checkpoint()
