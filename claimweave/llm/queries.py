@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import hilbert, mixing
+from claimweave.llm import hilbert, mixing, secrets
+from claimweave.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -178,3 +179,23 @@ SELECT doc_id, size, s AS source_size, target,
     / 4503599627370496.0 < rate - floor(rate))::BIGINT) * size AS taken
 FROM rated
 """
+
+
+# ------------------------------------------------------------------- 7 secrets
+
+
+@register
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(spark, versions, shared_folder(spark, "blob-ledger"))
+    base = [rule.kind for rule in secrets.BASE_RULES]
+    of_base = F.filter("spans", lambda s: s["kind"].isin(base))
+    counts = [
+        F.expr(f"CAST(size(filter(spans, s -> s.kind = '{kind}')) AS bigint) AS n_{kind}")
+        for kind in base
+    ]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(secrets.as_text(of_base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
