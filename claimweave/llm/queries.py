@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import hilbert, mixing, secrets
+from claimweave.llm import exact_topk, hilbert, langid, mixing, packing, posting_ann, secrets
 from claimweave.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,50 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.as_text(of_base), 256).alias("base_sha256"),
         secrets.as_text(F.col("spans")).alias("spans"),
     )
+
+
+# ----------------------------------------------------------- 4 and 6 vector search
+
+
+@register
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return posting_ann.search(vectors.where("vec_id % 20 = 0"), vectors, 20)
+
+
+@register
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = exact_topk.integer_weights(table(spark, sf_dir, "embeddings"))
+    return exact_topk.search(vectors.where("vec_id % 50 = 0"), vectors, 5)
+
+
+SQL["op6_topk"] = """
+WITH ints AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum([q.w[i] * c.w[i] for i in range(1, 1 + len(c.w))])::BIGINT AS score
+  FROM ints q JOIN ints c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+# ----------------------------------------------------------- 3 packing, 5 language
+
+
+@register
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fitted(docs))
+    return found.select(
+        "doc_id", langid.is_held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
