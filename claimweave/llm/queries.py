@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import exact_topk, hilbert, jaccard, langid, mixing, packing, posting_ann, secrets
+from claimweave.llm import exact_topk, hilbert, jaccard, langid, mixing, packing, pii, posting_ann, secrets
 from claimweave.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -279,3 +279,22 @@ WITH RECURSIVE words AS (
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
 """
+
+
+# ---------------------------------------------------------------------- 9 PII
+
+
+@register
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fitted(docs))
+    base = F.filter("pii", lambda s: s["base"])
+    counts = [
+        F.expr(f"CAST(size(filter(pii, s -> s.base AND s.kind = '{kind}')) AS bigint) AS n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(F.col("pii")).alias("spans"),
+    )
