@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import exact_topk, hilbert, jaccard, langid, mixing, packing, pii, posting_ann, secrets
+from claimweave.llm import exact_topk, hilbert, html_text, jaccard, langid, mixing, packing, pii, posting_ann, secrets
 from claimweave.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -298,3 +298,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
         secrets.as_text(F.col("pii")).alias("spans"),
     )
+
+
+# --------------------------------------------------------------------- 8 HTML
+
+
+@register
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
