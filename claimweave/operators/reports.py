@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimweave.functions.exact import rounded_ratio
 from claimweave.functions.labels import DRUG_COVERAGE, decode
 
+
 def rows() -> Column:
     return F.count(F.lit(1))
 
@@ -16,7 +18,7 @@ def _whole_sum(amount: str) -> Column:
 
 
 def _cents_avg(amount: str) -> Column:
-    return F.round(F.avg(amount), 2)
+    return rounded_ratio(F.sum(amount), F.count(amount), 2, scale=2)
 
 
 def claims_by_type(claims: DataFrame) -> DataFrame:
@@ -32,13 +34,25 @@ def claims_by_type(claims: DataFrame) -> DataFrame:
 
 
 def diagnosis_by_type(diagnoses: DataFrame) -> DataFrame:
+    """Rows, claims and codes of each type.
+
+    Claims and codes are counted apart and the two small results joined: together they
+    would multiply the rows, and every map task would send each pair on."""
+    claims = (
+        diagnoses.groupBy("claim_type_key", "clm_id")
+        .agg(rows().alias("n"))
+        .groupBy("claim_type_key")
+        .agg(F.sum("n").alias("diagnosis_rows"), F.count("clm_id").alias("unique_claims"))
+    )
+    codes = (
+        diagnoses.select("claim_type_key", "icd_dgns_cd")
+        .distinct()
+        .groupBy(F.col("claim_type_key").alias("of_type"))
+        .agg(F.count("icd_dgns_cd").alias("unique_codes"))
+    )
     return (
-        diagnoses.groupBy("claim_type_key")
-        .agg(
-            rows().alias("diagnosis_rows"),
-            F.count_distinct("clm_id").alias("unique_claims"),
-            F.count_distinct("icd_dgns_cd").alias("unique_codes"),
-        )
+        claims.join(codes, F.col("claim_type_key").eqNullSafe(F.col("of_type")))
+        .select("claim_type_key", "diagnosis_rows", "unique_claims", "unique_codes")
         .orderBy(F.col("diagnosis_rows").desc())
     )
 
@@ -102,7 +116,7 @@ def condition_prevalence(conditions: DataFrame) -> DataFrame:
         .agg(
             rows().alias("total_bene"),
             F.count_if("meets_ccw_criteria").alias("confirmed_bene"),
-            F.round(F.avg(F.col("claim_count").cast("decimal(10,0)")), 1).alias("avg_claims"),
+            rounded_ratio(F.sum("claim_count"), F.count("claim_count"), 1).alias("avg_claims"),
         )
         .orderBy(F.col("confirmed_bene").desc())
     )
@@ -173,14 +187,8 @@ def kpi_cards(counts: DataFrame, *by: str) -> DataFrame:
     return counts.groupBy(*by).agg(
         rows().alias("total_bene"),
         confirmed.alias("confirmed_bene"),
-        F.round(
-            confirmed.cast("decimal(20,0)") * 100 / rows().cast("decimal(20,0)"), 1
-        ).alias("pct_of_population"),
-        F.round(
-            F.sum(n).cast("decimal(20,0)")
-            / F.nullif(confirmed, F.lit(0)).cast("decimal(20,0)"),
-            2,
-        ).alias("avg_conditions"),
+        rounded_ratio(confirmed * 100, rows(), 1).alias("pct_of_population"),
+        rounded_ratio(F.sum(n), confirmed, 2).alias("avg_conditions"),
         F.count_if(n >= 5).alias("high_risk_bene"),
     )
 
@@ -205,8 +213,7 @@ def avg_payment_by_bucket(tagged_claims: DataFrame) -> DataFrame:
 
 
 def _pooled_avg() -> Column:
-    paid = F.nullif(F.sum("paid_claims"), F.lit(0)).cast("decimal(20,0)")
-    return F.round(F.sum("total_payment") / paid, 2)
+    return rounded_ratio(F.sum("total_payment"), F.sum("paid_claims"), 2, scale=2)
 
 
 def person_avg_payment_by_bucket(payments: DataFrame, counts: DataFrame) -> DataFrame:
@@ -242,10 +249,14 @@ def slice_counts(
     sex: str | None = None,
 ) -> DataFrame:
     """Per-person counts with the year of the first condition, cut to one year
-    and/or sex; feed the result to any report over counts."""
+    and/or sex; feed the result to any report over counts.
+
+    Persons without a confirmed condition are in the year of the default key, and
+    persons whose key the calendar lacks are in the year NULL, so the years together
+    hold everyone."""
     days = calendar.select(F.col("date_key").alias("first_claim_date_key"), "year")
-    if year is not None:
-        days = days.where(F.col("year") == year)
     if sex is not None:
         counts = counts.where(F.col("sex_desc") == sex)
-    return counts.join(days, "first_claim_date_key")
+    if year is not None:
+        return counts.join(days.where(F.col("year") == year), "first_claim_date_key")
+    return counts.join(days, "first_claim_date_key", "left")
