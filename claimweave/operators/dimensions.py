@@ -118,56 +118,59 @@ def build_beneficiary_dim(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def flatten_hierarchy(codes: DataFrame, max_depth: int = 8) -> DataFrame:
+def flatten_hierarchy(codes: DataFrame) -> DataFrame:
     """Ancestors of every code of a ``(code, parent, description)`` tree.
 
     Gives the nearest, second-nearest and farthest ancestor with descriptions,
-    and whether the code is a leaf.  ``code`` must be unique.
-
-    Only inner nodes are walked up, one join per level; leaves, which are most
-    of a tree, look up their parent's finished chain once.  The inner nodes are
-    needed on every level, so they are checkpointed.  Every join has a side that
-    is unique on the join key and freshly shuffled, which lets Spark split a hot
-    parent.  A chain longer than ``max_depth`` (so also a cycle) fails the job.
+    and whether the code is a leaf.  A code that is listed twice (see ``dedupe_first``)
+    and a cycle raise ``ValueError``; a parent that isn't listed is an ancestor
+    without a description.
+
+    Only inner nodes are walked up; leaves, which are most of a tree, look up their
+    parent's finished chain once.  Each round doubles how far up every pointer
+    reaches, so the rounds grow with the logarithm of the depth, and ends when no
+    pointer moves.  Every join has a side that is unique on the join key and freshly
+    shuffled, which lets Spark split a hot parent.
     """
+    repeated = codes.groupBy("code").count().where("count > 1").select("code").first()
+    if repeated:
+        raise ValueError(f"code {repeated['code']} is listed more than once")
     parents = codes.where("parent IS NOT NULL").selectExpr("parent AS code").distinct()
-    inner = cut_lineage(codes.join(parents, "code", "left_semi"))
-    step = inner.selectExpr(
-        "code AS above", "parent AS above_parent", "description AS above_desc"
-    )
-
-    # top is the highest ancestor reached so far, next the one above it
-    chain = inner.selectExpr(
-        "code AS node",
-        "description AS node_desc",
-        "parent AS second",
-        "cast(NULL AS string) AS second_desc",
-        "code AS top",
-        "description AS top_desc",
-        "parent AS next",
-    )
-    for level in range(max_depth):
-        chain = chain.join(step, F.expr("next = above"), "left").selectExpr(
-            "node",
-            "node_desc",
-            "second",
-            f"{'above_desc' if level == 0 else 'second_desc'} AS second_desc",
-            "coalesce(next, top) AS top",
-            "if(next IS NULL, top_desc, above_desc) AS top_desc",
-            "above_parent AS next",
+    inner = cut_lineage(parents.join(codes, "code", "left").select("code", "parent", "description"))
+    pointers = inner.selectExpr("code AS node", "coalesce(parent, code) AS up")
+    moved = None
+    for _ in range(inner.count().bit_length() + 1):
+        further = cut_lineage(
+            pointers.join(pointers.toDF("up", "next"), "up").selectExpr(
+                "node", "next AS up", "next <> up AS moved"
+            )
         )
-    too_deep = f"raise_error(concat('hierarchy above ', node, ' is deeper than {max_depth}'))"
-    chain = chain.withColumn("top", F.expr(f"if(next IS NULL, top, {too_deep})"))
-
-    is_inner = parents.selectExpr("code", "true AS is_inner")
+        pointers = further.select("node", "up")
+        moved = further.where("moved").first()
+        if moved is None:
+            break
+    # a pointer into a cycle moves for ever, or ends at a node that has a parent
+    endless = moved or pointers.where("node = up").join(
+        inner.where("parent IS NOT NULL"), F.expr("node = code"), "left_semi"
+    ).first()
+    if endless:
+        raise ValueError(f"the hierarchy above {endless['node']} never ends")
+
+    text = inner.select("code", "description")
+    chain = (
+        pointers.toDF("node", "top")
+        .join(inner.selectExpr("code AS node", "parent AS second", "description AS node_desc"), "node")
+        .join(text.toDF("top", "top_desc"), "top")
+        .join(text.toDF("second", "second_desc"), "second", "left")
+    )
     return (
         codes.join(chain, F.expr("parent = node"), "left")
-        .join(is_inner, "code", "left")
+        .join(parents.selectExpr("code", "true AS is_inner"), "code", "left")
         .selectExpr(
             "code AS icd_dgns_cd",
             "description",
             "is_inner IS NULL AS is_billable",
-            "coalesce(top, parent) AS chapter_num",
+            "top AS chapter_num",
             "top_desc AS chapter_desc",
             "second AS block_code",
             "second_desc AS block_desc",

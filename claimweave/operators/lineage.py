@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the session's checkpoint folder and go on from there.
 
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``,
-    so the rows outlive any executor.  A local session without one gets a
-    temporary folder; a cluster without one is an error.
+    The folder is the one in ``spark.checkpoint.dir``, which all executors share, so
+    the rows outlive any executor.  A session that names none gets one in its
+    warehouse, which is shared too.
     """
     session = df.sparkSession
     context = session.sparkContext
     if context.getCheckpointDir() is None:
-        folder = session.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="claimweave-checkpoint-"))
+        warehouse = session.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(
+            session.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints"
+        )
     return df.checkpoint()

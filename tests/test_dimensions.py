@@ -102,19 +102,32 @@ def brute_force(tree):
 def test_flatten_hierarchy(spark, rows_of, tree):
     codes = spark.createDataFrame(tree, "code string, parent string, description string")
     expected = sorted(brute_force(tree), key=lambda row: [(v is None, str(v)) for v in row])
-    assert rows_of(flatten_hierarchy(codes, max_depth=5)) == expected
+    assert rows_of(flatten_hierarchy(codes)) == expected
 
 
-def test_hierarchy_that_never_ends_fails(spark):
-    loop = [("a", "b", ""), ("b", "c", ""), ("c", "a", ""), ("leaf", "a", "")]
-    codes = spark.createDataFrame(loop, "code string, parent string, description string")
-    with pytest.raises(Exception, match="deeper than 4"):
-        flatten_hierarchy(codes, max_depth=4).collect()
-    deep = [(str(i), str(i - 1) if i else None, "") for i in range(9)]
+@pytest.mark.parametrize("length", [1, 2, 3, 4, 7])
+def test_hierarchy_that_never_ends_fails(spark, length):
+    loop = [(f"n{i}", f"n{(i + 1) % length}", "") for i in range(length)]
+    tree = [*loop, ("leaf", "n0", ""), ("root", None, ""), ("other", "root", "")]
+    codes = spark.createDataFrame(tree, "code string, parent string, description string")
+    with pytest.raises(ValueError, match="never ends"):
+        flatten_hierarchy(codes).count()
+
+
+def test_hierarchy_of_many_levels(spark, rows_of):
+    deep = [(str(i), str(i - 1) if i else None, f"level {i}") for i in range(13)]
     codes = spark.createDataFrame(deep, "code string, parent string, description string")
-    with pytest.raises(Exception, match="deeper than 4"):
-        flatten_hierarchy(codes, max_depth=4).collect()
-    assert flatten_hierarchy(codes, max_depth=7).where("chapter_num <> '0'").count() == 0
+    expected = sorted(brute_force(deep), key=lambda row: [(v is None, str(v)) for v in row])
+    assert rows_of(flatten_hierarchy(codes)) == expected
+
+
+def test_code_listed_twice_fails(spark):
+    codes = spark.createDataFrame(
+        [*TREE, ("E11", "4", "again")], "code string, parent string, description string"
+    )
+    with pytest.raises(ValueError, match="E11 is listed more than once"):
+        flatten_hierarchy(codes).count()
+    assert flatten_hierarchy(codes.where("false")).count() == 0
 
 
 def test_diagnosis_dim_takes_extra_codes(spark, rows_of):
