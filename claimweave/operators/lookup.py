@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 500
 SALTS = 256
+#: Sketches that are merged side by side before the last merge.
+SKETCH_GROUPS = 64
 
 
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
@@ -16,10 +18,24 @@ def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
 
     A frequency sketch finds them in one pass over the key column, without a
     shuffle of the keys.  At most ``share`` keys can qualify, so the result is
-    small whatever the data.
+    small whatever the data.  The map tasks' sketches are merged in groups first, so
+    the last task reads ``SKETCH_GROUPS`` of them, however many tasks there are.  ``df``
+    is read twice, here and in the join; a frame that is costly to make should be a
+    stored table.
     """
-    counted = df.selectExpr(
-        f"approx_top_k(`{key}`, {share}, {20 * share}) AS top", "count(1) AS total"
+    counters = 8 * share
+    grouped = (
+        df.selectExpr(f"`{key}` AS item", f"pmod(spark_partition_id(), {SKETCH_GROUPS}) AS part")
+        .groupBy("part")
+        .agg(
+            F.expr(f"approx_top_k_accumulate(item, {counters}) AS sketch"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+    # a key to group by, as a task without any sketch must not make an empty one
+    counted = grouped.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {counters}), {share}) AS top"),
+        F.sum("n").alias("total"),
     )
     return (
         counted.selectExpr("inline(top) AS (item, n)", "total")

@@ -43,6 +43,16 @@ def test_hot_keys_are_found(spark, rows_of):
     assert hot_keys(claims(spark).where("bene_id IS NULL"), "bene_id").count() == 0
 
 
+def test_sketches_are_merged_in_groups(spark):
+    """The one task at the end reads a sketch for each group, not for each map task."""
+    hot = hot_keys(claims(spark).repartition(50), "bene_id")
+    plan = hot._jdf.queryExecution().sparkPlan().toString()
+    assert "approx_top_k_accumulate" in plan and "approx_top_k_combine" in plan
+    exchanges = hot._jdf.queryExecution().executedPlan().toString()
+    assert exchanges.count("Exchange hashpartitioning") == 2 and "SinglePartition" not in exchanges
+    assert [r.bene_id for r in hot.collect()] == ["hot"]
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_lookup_is_a_join(spark, rows_of, how):
     df, dim = claims(spark), persons(spark)
