@@ -1,4 +1,4 @@
-"""The whole load: extracts to raw, staging and mart tables, then the checks.
+"""The whole load: extracts to raw, staging and mart tables, and checks of each layer.
 
 Every table is written once and read back from Parquet by the steps after it,
 so no step recomputes another and a lost executor costs at most the tasks of
@@ -37,6 +37,7 @@ from claimweave.operators.facts import (
     diagnosis_fact,
     union_headers,
 )
+from claimweave.operators.keys import dedupe_first
 from claimweave.operators.staging import split_header, split_line, stage_pde, stage_snapshots
 from claimweave.sources.files import (
     read_code_list,
@@ -107,11 +108,11 @@ class Warehouse(NamedTuple):
 def load_raw(w: Warehouse) -> None:
     """Extracts as they are, every column text."""
     for name, layout in {**CLAIM_LAYOUTS, "pde": PDE}.items():
-        extract = read_text_table(w.spark, f"{w.source}/{name}.csv", names(layout))
+        extract = read_text_table(w.spark, f"{w.source}/{name}.csv", names(layout), check_header=True)
         w.write("raw", name, extract)
     for year in w.years:
         extract = read_text_table(
-            w.spark, f"{w.source}/beneficiary_{year}.csv", names(BENEFICIARY)
+            w.spark, f"{w.source}/beneficiary_{year}.csv", names(BENEFICIARY), check_header=True
         )
         w.write("raw", f"beneficiary_{year}", extract)
 
@@ -153,9 +154,14 @@ def load_mart(w: Warehouse) -> None:
     w.write("mart", "ckd_diabetes_cost", cohort_claims(claims, cohort_members(conditions)))
 
 
-def extract_code_list(codes: DataFrame, target: str, name: str = "icd10cm_csv") -> None:
-    """Flatten a ``(code, parent, description)`` tree and write it as CSV."""
-    write_table(flatten_hierarchy(codes), target, name, fmt="csv")
+def extract_code_list(codes: DataFrame, target: str, name: str = "icd10cm_csv") -> DataFrame:
+    """Flatten a ``(code, parent, description, position)`` tree and write it as CSV.
+
+    Of a code that is listed more than once the first by ``position`` counts; the
+    result says how many were skipped."""
+    tree = dedupe_first(codes, "code", "position").select("code", "parent", "description")
+    write_table(flatten_hierarchy(tree), target, name, fmt="csv")
+    return checks.duplicates_skipped(codes, "code")
 
 
 def load_codes(w: Warehouse, path: str, extra: DataFrame | None = None) -> None:
@@ -225,7 +231,7 @@ def staging_checks(w: Warehouse) -> dict[str, DataFrame]:
             header_total("inpatient"), first_lines("inpatient"), "inpatient"
         ),
         "person_profile": checks.person_profile(snapshots),
-        "inpatient_profile": profiles["inpatient"],
+        **{f"{name}_profile": profiles[name] for name in ("inpatient", "outpatient", "carrier")},
         "claim_verdicts": checks.claim_verdicts(list(profiles.values())),
         "pde_profile": checks.pde_profile(pde),
         "orphans": checks.check_orphans(
@@ -283,7 +289,16 @@ def code_checks(w: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def run_pipeline(w: Warehouse) -> None:
+def run_pipeline(
+    w: Warehouse, code_list: str | None = None, extra_codes: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Load all layers, with the code dimension if a code list is given, and return the
+    checks of every layer by ``layer.name``; they run when they are looked at."""
     load_raw(w)
     load_staging(w)
     load_mart(w)
+    found = {"raw": raw_checks(w), "staging": staging_checks(w), "mart": mart_checks(w)}
+    if code_list:
+        load_codes(w, code_list, extra_codes)
+        found["codes"] = code_checks(w)
+    return {f"{layer}.{name}": df for layer, frames in found.items() for name, df in frames.items()}

@@ -45,14 +45,25 @@ def read_text_table(
 
 
 def read_code_list(spark: SparkSession, path: str) -> DataFrame:
-    """Flattened code hierarchy from comma-separated files with a header."""
+    """Flattened code hierarchy from comma-separated files with a header.  An empty
+    field is NULL; a row with too few or too many fields, or with a flag that isn't
+    one, fails the read."""
     schema = StructType(
         [
             StructField(name, BooleanType() if name == "is_billable" else StringType())
             for name in names(CODE_LIST)
         ]
     )
-    return spark.read.csv(path, schema=schema, header=True, quote='"', escape='"')
+    return spark.read.csv(
+        path,
+        schema=schema,
+        header=True,
+        quote='"',
+        escape='"',
+        nullValue="\u0000",
+        emptyValue="",
+        mode="FAILFAST",
+    )
 
 
 def with_load_date(df: DataFrame) -> DataFrame:

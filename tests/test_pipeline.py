@@ -160,6 +160,10 @@ def test_raw_checks(built):
 
 def test_staging_checks(built):
     found = warehouse.staging_checks(built)
+    assert {"inpatient_profile", "outpatient_profile", "carrier_profile"} <= found.keys()
+    assert "null_clm_admsn_dt" in found["inpatient_profile"].columns
+    assert "null_clm_admsn_dt" not in found["carrier_profile"].columns
+    assert "total_pmt_amt" in found["claim_verdicts"].columns
     verdicts = results(found["claim_verdicts"])
     assert verdicts["dme"] == "OK" and verdicts["hospice"] == "CHECK DETAILS"
     assert set(results(found["orphans"], "claim_type").values()) == {"OK"}
@@ -183,9 +187,14 @@ def test_mart_keys_are_unique(built):
 
 def test_codes(built, spark, tmp_path):
     tree = [("19", None, "chapter"), ("E08-E13", "19", "block"), ("E11", "E08-E13", "Type 2"),
-            ("E119", "E11", "plain"), ("E1165", "E11", "high, with comma"), ("I10", "19", "")]
-    codes = spark.createDataFrame(tree, "code string, parent string, description string")
-    warehouse.extract_code_list(codes, str(tmp_path))
+            ("E119", "E11", "plain"), ("E1165", "E11", "high, with comma"), ("I10", "19", ""),
+            ("E11", "19", "listed again"), ("E119", "E11", "plain")]
+    codes = spark.createDataFrame(
+        [(*row, i) for i, row in enumerate(tree)],
+        "code string, parent string, description string, position int",
+    )
+    skipped = warehouse.extract_code_list(codes, str(tmp_path))
+    assert tuple(skipped.first()) == (8, 6, 2)
     extra = spark.createDataFrame([("N18", "added by hand")], "icd_dgns_cd string, description string")
     warehouse.load_codes(built, str(tmp_path / "icd10cm_csv"), extra)
     dim = built.read("mart", "dim_diagnosis")

@@ -82,6 +82,16 @@ def test_code_list(spark, tmp_path, rows_of):
     ]
 
 
+@pytest.mark.parametrize(
+    "row", ["E12,short row,True", "E12,x,maybe,4,a,b,c,d,e", "E12,x,True,4,a,b,c,d,e,one more"]
+)
+def test_malformed_code_list_fails(spark, tmp_path, row):
+    path = tmp_path / "codes.csv"
+    path.write_text(",".join(names(layouts.CODE_LIST)) + f"\nE11,ok,,,,,,,\n{row}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_code_list(spark, str(path)).collect()
+
+
 def test_write_table_replaces(spark, tmp_path):
     write_table(spark.range(5), str(tmp_path), "t")
     write_table(spark.range(3), str(tmp_path), "t")
