@@ -46,6 +46,8 @@ STEMS = """
     C18 C34 C61 J45 E66 F41 F20 Z79 K21 M54 E10 R05
 """.split()
 DX_WIDTH = 7
+# Date key of persons without a confirmed condition: a day that orders have.
+DEFAULT_KEY = 19950101
 
 
 # Schemas of the source tables; stating them saves a job per table that would
@@ -129,7 +131,7 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim extract as text: header fields repeated on every line.
 
     Header text is made on the order side, once per claim, before the join.
-    Both sides grow with the data, so neither is broadcast.  The join key is the
+    Both sides grow with the data.  The join key is the
     number and not the claim id: whatever groups by claim id afterwards has a
     shuffle of its own, so a hot order can be split over many join tasks."""
     header = claim_headers(spark, sf_dir).selectExpr(
@@ -159,7 +161,7 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(cast(l_quantity AS int) AS string) AS rev_cntr_unit_cnt",
         f"cast({_money('l_extendedprice')} AS string) AS rev_cntr_tot_chrg_amt",
     )
-    return line.join(header.hint("merge"), "o_orderkey").drop("o_orderkey")
+    return line.join(header, "o_orderkey").drop("o_orderkey")
 
 
 def staged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,43 +240,35 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Claims with diagnosis columns 1..7, one per line number.
+    """Claims with diagnosis columns 1..7: a row for each line, whose code is in the
+    column of its line number.  Line numbers repeat within an order, so lines aren't
+    folded together; a number without a column fails.
 
     The part behind a line gives its code: sizes up to 15 the stem of the
-    brand, larger ones a code no rule knows.  Lines are pivoted while the code
-    is a number, which aggregates in a hash map; text would be sorted."""
+    brand, larger ones a code no rule knows."""
     positions = range(1, DX_WIDTH + 1)
+    stems = ", ".join(f"'{stem}'" for stem in STEMS)
+    brand = r"cast(regexp_extract(p_brand, '(\\d+)$', 1) AS int)"
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS l_partkey",
-        r"cast(regexp_extract(p_brand, '(\\d+)$', 1) AS int) * 100 + p_size AS code_no",
+        f"""concat(if(p_size <= 15, element_at(array({stems}), {brand}),
+            concat('Z', {_padded(brand, 2)})), cast(p_size % 10 AS string)) AS code""",
     )
-    pivoted = (
+    known = f"""if(l_linenumber BETWEEN 1 AND {DX_WIDTH}, l_linenumber, cast(raise_error(
+        concat('no diagnosis column for line ', l_linenumber)) AS int))"""
+    lines = (
         table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey")
+        .selectExpr("l_orderkey AS o_orderkey", f"{known} AS position", "l_partkey")
         .join(part, "l_partkey")
-        .selectExpr(
-            "l_orderkey AS o_orderkey",
-            *[f"CASE WHEN l_linenumber = {i} THEN code_no END AS n{i}" for i in positions],
-        )
-        .groupBy("o_orderkey")
-        .max(*[f"n{i}" for i in positions])
-        .toDF("o_orderkey", *[f"n{i}" for i in positions])
     )
-    stems = ", ".join(f"'{stem}'" for stem in STEMS)
-
-    def code(i: int) -> str:
-        brand = f"cast(floor(n{i} / 100) AS int)"
-        stem = f"""if(n{i} % 100 <= 15, element_at(array({stems}), {brand}),
-            concat('Z', {_padded(brand, 2)}))"""
-        return f"""CASE WHEN n{i} IS NOT NULL THEN concat({stem}, cast(n{i} % 10 AS string)) END
-            AS icd_dgns_cd{i}"""
-
     ids = ["clm_id", "bene_id", "claim_type_key", "clm_from_dt"]
     return (
         claim_headers(spark, sf_dir)
         .select("o_orderkey", *ids)
-        .join(pivoted, "o_orderkey")
-        .selectExpr(*ids, *[code(i) for i in positions])
+        .join(lines, "o_orderkey")
+        .selectExpr(
+            *ids, *[f"CASE WHEN position = {i} THEN code END AS icd_dgns_cd{i}" for i in positions]
+        )
     )
 
 
@@ -292,7 +286,9 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return condition_counts(persons(spark, sf_dir), conditions(spark, sf_dir))
+    return condition_counts(
+        persons(spark, sf_dir), conditions(spark, sf_dir), default_key=DEFAULT_KEY
+    )
 
 
 def raw_pde(spark: SparkSession, sf_dir: str) -> DataFrame:
