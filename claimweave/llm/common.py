@@ -17,12 +17,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share: below ``spark.checkpoint.dir``,
     or below the warehouse where that is unset.  It goes when the session's JVM ends."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    folder = f"{root}/{name}-{uuid.uuid4().hex}"
-    path, files = _path(spark, folder)
-    files.deleteOnExit(path)
-    return folder
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    session = f"{root.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+    path, files = _path(spark, session)
+    files.mkdirs(path)
+    files.deleteOnExit(path)  # takes note of folders that exist
+    return f"{session}/{name}-{uuid.uuid4().hex}"
 
 
 def exists(spark: SparkSession, folder: str) -> bool:
@@ -30,6 +30,11 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
 def _path(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
