@@ -32,8 +32,9 @@ def accumulate(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def integer_weights(vectors: DataFrame, factor: int = 256) -> DataFrame:
     """vec_id and its vector of floor(factor * x), for the vectors that take part."""
-    return vectors.where(usable("embedding", zero=True) & F.col("vec_id").isNotNull()).select(
-        "vec_id", F.expr(f"transform(embedding, x -> CAST(floor({factor} * CAST(x AS double)) AS bigint)) AS vector")
+    weight = f"CAST(floor({factor} * CAST(x AS double)) AS bigint)"
+    return vectors.where(usable("embedding", zero=True) & F.col("vec_id").isNotNull()).selectExpr(
+        "vec_id", f"transform(embedding, x -> {weight}) AS vector"
     )
 
 

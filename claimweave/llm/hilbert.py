@@ -54,18 +54,21 @@ def curve_index(axes: Sequence[str], bits: int) -> Column:
     bits of the axes; then comes a Gray code, whose bits are interleaved."""
     n = len(axes)
     start = ", ".join(f"CAST({axis} AS bigint)" for axis in axes)
+    down = range(bits - 1, 0, -1)
     turns = ", ".join(
-        f"struct({axis} AS axis, {q} AS q, {(1 << q) - 1}L AS low)"
-        for q in range(bits - 1, 0, -1) for axis in range(n)
+        f"struct({axis} AS axis, {q} AS q, {(1 << q) - 1}L AS low)" for q in down for axis in range(n)
     )
     undone = f"""aggregate(array({turns}), array({start}), (x, t) -> transform(x, (v, j) ->
         v ^ if(shiftright(x[t.axis], t.q) & 1 = 1,
             if(j = 0, t.low, 0L),
             if(j = 0 OR j = t.axis, (x[0] ^ x[t.axis]) & t.low, 0L))))"""
     gray = "transform(x, (v, j) -> aggregate(slice(x, 1, j + 1), 0L, (a, b) -> a ^ b))"
-    lows = ", ".join(f"struct({q} AS q, {(1 << q) - 1}L AS low)" for q in range(bits - 1, 0, -1))
-    turned = f"aggregate(array({lows}), 0L, (a, t) -> a ^ if(shiftright(x[{n - 1}], t.q) & 1 = 1, t.low, 0L))"
-    places = ", ".join(f"struct({axis} AS axis, {q} AS q)" for q in range(bits - 1, -1, -1) for axis in range(n))
+    lows = ", ".join(f"struct({q} AS q, {(1 << q) - 1}L AS low)" for q in down)
+    turned = f"""aggregate(array({lows}), 0L,
+        (a, t) -> a ^ if(shiftright(x[{n - 1}], t.q) & 1 = 1, t.low, 0L))"""
+    places = ", ".join(
+        f"struct({axis} AS axis, {q} AS q)" for q in (*down, 0) for axis in range(n)
+    )
     index = f"aggregate(array({places}), 0L, (a, t) -> a * 2 + (shiftright(x[t.axis], t.q) & 1))"
 
     # each step names what it got x, so that no expression is repeated
@@ -97,7 +100,9 @@ def hilbert_shards(
     rows = df.select(F.lit(1)).count()
     axes = [f"_x{i}" for i in range(len(dimensions))]
     raw = df.withColumns({axis: bucket(d) for axis, d in zip(axes, dimensions)})
-    pairs = F.explode(F.array(*[F.struct(F.lit(a).alias("_axis"), F.col(a).alias("_raw")) for a in axes]))
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(a).alias("_axis"), F.col(a).alias("_raw")) for a in axes])
+    )
     # at most CATEGORY_BUCKETS + 1 or 64 * 16 + 1 rows for each axis
     histogram = raw.select(pairs.alias("_p")).groupBy("_p._axis", "_p._raw").count()
     histogram = histogram.selectExpr(
@@ -118,9 +123,9 @@ def hilbert_shards(
         [F.col(key), *map(F.col, tie_break)], rows,
     )
     shard = f"(_position * {shards}) div {max(rows, 1)}"
-    return ordered.selectExpr(*df.columns, "curve", f"CAST({shard} AS int) AS shard", "_position").selectExpr(
-        *df.columns, "curve", "shard",
-        f"_position - (CAST(shard AS long) * {rows} + {shards - 1}) div {shards} AS slot",
+    first = f"(CAST(shard AS long) * {rows} + {shards - 1}) div {shards}"
+    return ordered.withColumn("shard", F.expr(f"CAST({shard} AS int)")).selectExpr(
+        *df.columns, "curve", "shard", f"_position - {first} AS slot"
     )
 
 

@@ -28,17 +28,29 @@ BROKEN = frozenset(
     "li dt dd tr caption thead tbody tfoot center option optgroup td th".split()
 )
 BLOCKS = SPACED | BROKEN
+ROW_GROUPS = ("thead", "tbody", "tfoot")
 #: An opening tag closes open elements of these names, up to one of the scope.
 CLOSES = {
-    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
-    "tr": ("tr", "td", "th", "caption"), "td": ("td", "th"), "th": ("td", "th"),
-    "thead": ("thead", "tbody", "tfoot", "tr", "td", "th", "caption"), "tbody": ("thead", "tbody", "tfoot", "tr", "td", "th", "caption"),
-    "tfoot": ("thead", "tbody", "tfoot", "tr", "td", "th", "caption"), "body": ("head",),
+    "li": ("li",),
+    "dt": ("dt", "dd"),
+    "dd": ("dt", "dd"),
+    "tr": ("tr", "td", "th", "caption"),
+    "td": ("td", "th"),
+    "th": ("td", "th"),
+    "body": ("head",),
+    **{group: (*ROW_GROUPS, "tr", "td", "th", "caption") for group in ROW_GROUPS},
 }
 SCOPE = {
-    "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "option": ("select", "datalist"), "optgroup": ("select",),
-    "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "thead": ("table",), "tbody": ("table",), "tfoot": ("table",),
+    "li": ("ul", "ol", "menu"),
+    "dt": ("dl",),
+    "dd": ("dl",),
+    "tr": ("table",),
+    "td": ("table", "tr"),
+    "th": ("table", "tr"),
+    **{group: ("table",) for group in ROW_GROUPS},
 }
+#: End tags that close elements outside the nearest table.
+OUTER = ("table", "tr", "td", "th", "html", "body", *ROW_GROUPS)
 HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 BLANK = re.compile(r"[ \t\n\r\f]+")
 
@@ -90,8 +102,7 @@ class TreeBuilder(HTMLParser):
             self.handle_starttag("p", [])
             self._pop()
         elif tag not in VOID:
-            scope = ("table",) if tag not in ("table", "tr", "td", "th", "thead", "tbody", "tfoot", "html", "body") else ()
-            self._close_to(tag, scope)
+            self._close_to(tag, () if tag in OUTER else ("table",))
 
     def handle_data(self, data: str) -> None:
         if not self.unshown:
@@ -153,7 +164,8 @@ class Page:
             if self.lines and self.gap:
                 self.lines += [""] * self.gap
             self.gap = 0
-            self.line.append("".join(self.indents[:-1] + [self.marker]) if self.marker else "".join(self.indents))
+            before = [*self.indents[:-1], self.marker] if self.marker else self.indents
+            self.line.append("".join(before))
             self.marker, self.space = "", False
 
     def end_line(self) -> None:
@@ -294,7 +306,8 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if h is None else visible_text(h) for h in batch.column(batch.num_columns - 1).to_pylist()]
+            given = batch.column(batch.num_columns - 1).to_pylist()
+            texts = [None if html is None else visible_text(html) for html in given]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(texts, pa.string())], [*names, "text"]
             )

@@ -76,11 +76,9 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
                     held, size, seen = [], 0, set()
         yield report()
 
-    counts = written(
-        docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-        .where(F.col("n") > COMMON_FROM),
-        "common-shingles",
-    )
+    reported = docs.select("text").mapInArrow(count, "shingle long, n long")
+    summed = reported.groupBy("shingle").agg(F.sum("n").alias("n"))
+    counts = written(summed.where(F.col("n") > COMMON_FROM), "common-shingles")
     sizes = counts.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect()
     least, total = 64, 0
     for power, n in sizes:  # at most 63 rows
@@ -113,7 +111,9 @@ def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 sets = list(shingle_sets(part.column(1).to_pylist()))
                 flat = np.concatenate(sets)
                 at = np.searchsorted(last, flat)
-                late = np.zeros(len(flat), bool) if not len(last) else last[np.minimum(at, len(last) - 1)] == flat
+                late = np.zeros(len(flat), bool)
+                if len(last):
+                    late = last[np.minimum(at, len(last) - 1)] == flat
                 prefixes, n = [], 0
                 for s in sets:
                     mask = late[n : n + len(s)]
@@ -150,9 +150,8 @@ def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
     built = texts.mapInArrow(build, "id long, key binary, shingles binary")
     # rows that repeat a doc_id with another text are of another class
-    return written(
-        built.join(classes.select("id", "key"), ["id", "key"], "left_semi").dropDuplicates(["id"]).drop("key"), "sets"
-    )
+    own = built.join(classes.select("id", "key"), ["id", "key"], "left_semi")
+    return written(own.dropDuplicates(["id"]).drop("key"), "sets")
 
 
 # -------------------------------------------------------------- comparing pairs
@@ -180,7 +179,8 @@ def close_bitmaps(maps: list[bytes], n: np.ndarray, group: np.ndarray) -> np.nda
             for first in range(0, len(small), step):
                 own = small[first : first + step]
                 sizes, others = n[own, None], n[big]
-                fits = (4 * np.minimum(sizes, others) >= 3 * np.maximum(sizes, others)) & (group[own, None] != group[big])
+                fits = 4 * np.minimum(sizes, others) >= 3 * np.maximum(sizes, others)
+                fits &= group[own, None] != group[big]
                 if not fits.any():
                     continue
                 apart = np.bitwise_count(a[first : first + step, None] ^ b).sum(2, dtype=np.int64)
@@ -266,15 +266,19 @@ class RegionJoin:
 # ----------------------------------------------------------------------- tasks
 
 
-def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], list | None], names: list[str], schema: str) -> DataFrame:
-    """``work`` on the rows of each group of a sorted partition; groups are small, so
-    they are cut out of the batches here and not by one call to Python for each."""
+def by_group(
+    df: DataFrame, keys: list[str], work: Callable[[pa.Table], list], names: list[str]
+) -> DataFrame:
+    """``work`` on the rows of each group of a sorted partition, which gives rows of
+    whole numbers.  Groups are small, so they are cut out of the batches here and not by
+    one call to Python for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
         made: list[tuple] = []
         for batch in batches:
-            rest = pa.concat_tables([rest, pa.Table.from_batches([batch])]) if rest else pa.Table.from_batches([batch])
+            more = pa.Table.from_batches([batch])
+            rest = pa.concat_tables([rest, more]) if rest else more
             marks = [rest[k].to_numpy() for k in keys]
             change = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0)) + 1
             cuts = [0, *change.tolist()]
@@ -290,7 +294,8 @@ def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], list | N
         columns = list(zip(*rows)) or [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    fields = ", ".join(f"{name} long" for name in names)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, fields)
 
 
 def one_of_each(rows: DataFrame, keys: list[str], same: list[str]) -> DataFrame:
@@ -328,10 +333,9 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            a, b, an, bn, am, bm = (batch.column(names.index(c)).to_pylist() for c in ("a", "b", "a_n", "b_n", "a_map", "b_map"))
+            sides = zip(*(batch.column(c).to_pylist() for c in ("a_map", "b_map", "a_n", "b_n")))
             kept = [
-                close_bitmaps([x, y], np.array([p, q]), np.array([0, 1])).all() for x, y, p, q in zip(am, bm, an, bn)
+                close_bitmaps([x, y], np.array([p, q]), np.array([0, 1])).all() for x, y, p, q in sides
             ]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
@@ -360,13 +364,13 @@ def region_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, labels
     ).where("_low < _high").select("region", F.ceil(F.col("_rows") / BLOCK).cast("long").alias("_blocks"))
     open_ = one_of_each(rest.join(several, "region"), ["region"], ["id", "label"])
     # block i meets each block j >= i
-    block = F.pmod(F.xxhash64("id"), F.col("_blocks"))
-    tasks = open_.withColumn("_own", block).select(
+    own = F.pmod(F.xxhash64("id"), F.col("_blocks"))
+    pair = "least(_own, j) * 1000000 + greatest(_own, j)"
+    tasks = open_.withColumn("_own", own).selectExpr(
         "region", "id", "n", "label",
-        F.expr("explode(transform(sequence(0L, _blocks - 1), j -> least(_own, j) * 1000000 + greatest(_own, j))) AS task"),
+        f"explode(transform(sequence(0L, _blocks - 1), j -> {pair})) AS task",
     )
     keys = ["region", "task"]
-    columns = "region long, task long, id long, label long"
 
     def screen(group: pa.Table) -> list[tuple]:
         ids, names = group["id"].to_numpy(), group["label"].to_numpy()
@@ -380,13 +384,11 @@ def region_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, labels
         found = RegionJoin(sets, group["label"].to_numpy()).join(np.arange(len(sets)))
         return [(int(ids[a]), int(ids[b])) for a, b in found]
 
-    near = written(
-        by_group(tasks.join(classes.select("id", "bitmap"), "id"), keys, screen, ["region", "task", "id", "label"], columns),
-        "near-documents",
-    )
+    with_maps = tasks.join(classes.select("id", "bitmap"), "id")
+    near = written(by_group(with_maps, keys, screen, [*keys, "id", "label"]), "near-documents")
     near = written(one_of_each(near, keys, ["id", "label"]), "near-documents")
     with_sets = near.join(sets_of(docs, classes, near.select("id")), "id")
-    return written(by_group(with_sets, keys, join, ["a", "b"], "a long, b long"), "links")
+    return written(by_group(with_sets, keys, join, ["a", "b"]), "links")
 
 
 # ------------------------------------------------------------------ components
@@ -447,9 +449,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "classes",
     )
     regions = window_regions(classes)
-    pairs = regions.where("id <> pivot AND 4 * least(n, pivot_n) >= 3 * greatest(n, pivot_n)").select(
-        F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("pivot_n").alias("a_n"), F.col("n").alias("b_n")
-    ).distinct()
+    pairs = (
+        regions.where("id <> pivot AND 4 * least(n, pivot_n) >= 3 * greatest(n, pivot_n)")
+        .selectExpr("pivot AS a", "id AS b", "pivot_n AS a_n", "n AS b_n")
+        .distinct()
+    )
     stars = verified(docs, classes, pairs)
     edges = both_ways(stars)
     labels = written(hop(edges, first_labels(edges)), "labels")

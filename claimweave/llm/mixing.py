@@ -47,13 +47,13 @@ def targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
         ).alias("_rate"),
     )
     fits = F.col("_rate") * F.col("weight") <= F.col("_limit")
-    rated = ranked.withColumn("_fits", fits).withColumn(
-        "_common", F.min(F.struct(F.when(F.col("_fits"), 0).otherwise(1), F.col("_limit") / F.col("weight"), "_rate")).over(every)["_rate"]
-    )
+    # the first that fits, in the order of filling up
+    first = F.struct(F.when(fits, 0).otherwise(1), F.col("_limit") / F.col("weight"), "_rate")
+    rated = ranked.withColumn("_common", F.min(first).over(every)["_rate"])
     target = F.when(
         F.col("_limit") < F.col("_common") * F.col("weight"), F.col("_limit")
     ).otherwise(F.col("_common") * F.col("weight"))
-    return rated.withColumn("target", target.cast("double")).drop("_limit", "_rate", "_fits", "_common")
+    return rated.withColumn("target", target.cast("double")).drop("_limit", "_rate", "_common")
 
 
 def mix(
@@ -75,19 +75,19 @@ def mix(
     """
     sized = docs.withColumn("_size", words(F.col("text")) if size is None else size)
     sources = sized.groupBy("source").agg(F.sum("_size").alias("source_size"))
+    found = written(sources, "mix-sources")
     if weights is None:
-        weighed = cyclic_weights(written(sources, "mix-sources"))
+        weighed = cyclic_weights(found)
     else:
         same = F.col("s.source").eqNullSafe(F.col("w.source"))
-        weighed = written(sources, "mix-sources").alias("s").join(weights.alias("w"), same).select("s.*", "w.weight")
+        weighed = found.alias("s").join(weights.alias("w"), same).select("s.*", "w.weight")
     shares = written(targets(weighed, max_repeats), "mix-targets").select(
         F.col("source").alias("_source"),
         F.col("source_size").alias("_source_size"),
         F.col("target").alias("_target"),
     )
-    joined = sized.join(
-        broadcast_if_small(shares), F.col("source").eqNullSafe(F.col("_source")), "inner" if weights is not None else "left"
-    ).drop("_source")
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    joined = sized.join(broadcast_if_small(shares), same).drop("_source")
     rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
     whole = F.floor(rate)
     extra = unit(F.lit(seed), F.col("doc_id")) < rate - whole

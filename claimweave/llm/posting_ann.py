@@ -44,7 +44,8 @@ def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 12) -> np.n
     weight = np.ones(lists)
     for _ in range(rounds):
         near = np.concatenate([
-            (distances(sample[i : i + 4096], centroids) * weight).argmin(1) for i in range(0, len(sample), 4096)
+            (distances(part, centroids) * weight).argmin(1)
+            for part in np.array_split(sample, len(sample) // 4096 + 1)
         ])
         sizes = np.bincount(near, minlength=lists)
         weight *= np.clip(sizes * lists / len(sample), 0.25, 4) ** 0.05
@@ -65,7 +66,8 @@ class CentroidGraph:
         n = len(centroids)
         rng = np.random.default_rng(11)
         near = np.concatenate([
-            distances(centroids[i : i + 1024], centroids).argsort(1)[:, 1 : 1 + NEIGHBOURS] for i in range(0, n, 1024)
+            distances(part, centroids).argsort(1)[:, 1 : 1 + NEIGHBOURS]
+            for part in np.array_split(centroids, n // 1024 + 1)
         ])
         self.links = np.concatenate([near, rng.integers(0, n, (n, 4))], axis=1)
         self.entries = rng.choice(n, min(n, 32), replace=False)
@@ -140,11 +142,13 @@ def _spread(vectors: DataFrame, graph, reach: float, pick, name: str) -> DataFra
             raw = matrix(batch.column(1), np.float32)
             raw = widened(raw, graph.value.centroids.shape[1] - 1)
             square = (raw.astype(np.float64) ** 2).sum(1)
-            filled = np.sqrt(np.maximum(reach * reach - square, 0)) if name == "vec_id" else np.zeros(len(raw))
+            filled = np.sqrt(np.maximum(reach * reach - square, 0))
+            if name == "query_id":
+                filled[:] = 0
             who, which = pick(graph.value, np.column_stack([raw, filled]).astype(np.float32))
+            lists, rows = pa.array(which.astype(np.int32)), pa.array(who)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(which.astype(np.int32)), batch.column(0).take(pa.array(who)), batch.column(1).take(pa.array(who))],
-                ["list", name, "vector"],
+                [lists, *(column.take(rows) for column in batch.columns)], ["list", name, "vector"]
             )
 
     return vectors.mapInArrow(assign, f"list int, {name} long, vector array<double>")

@@ -156,6 +156,7 @@ def scan(
 
 def as_text(spans: Column) -> Column:
     """kind:start:stop of the spans, joined by commas."""
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ","
-    )
+    def one(span: Column) -> Column:
+        return F.concat_ws(":", span["kind"], span["start"].cast("string"), span["stop"].cast("string"))
+
+    return F.array_join(F.transform(spans, one), ",")
