@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,13 +59,27 @@ def diagnosis_by_type(diagnoses: DataFrame) -> DataFrame:
     )
 
 
+def _as_one_row(*parts: DataFrame) -> DataFrame:
+    """One-row frames of different columns as one row."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
+def _distinct(df: DataFrame, column: str, name: str) -> DataFrame:
+    return df.select(column).distinct().agg(F.count(column).alias(name))
+
+
 def pde_totals(pde: DataFrame) -> DataFrame:
-    return pde.agg(
-        rows().alias("total_pde"),
-        _whole_sum("tot_rx_cst_amt").alias("total_drug_cost"),
-        _cents_avg("tot_rx_cst_amt").alias("avg_cost_per_event"),
-        F.count_distinct("bene_id").alias("unique_bene"),
-        F.count_distinct("prod_srvc_id").alias("unique_ndcs"),
+    """Events, cost, persons and products.  Each distinct count reads its own column;
+    together they would send every row once for each of them."""
+    return _as_one_row(
+        pde.agg(
+            rows().alias("total_pde"),
+            _whole_sum("tot_rx_cst_amt").alias("total_drug_cost"),
+            _cents_avg("tot_rx_cst_amt").alias("avg_cost_per_event"),
+        ),
+        _distinct(pde, "bene_id", "unique_bene"),
+        _distinct(pde, "prod_srvc_id", "unique_ndcs"),
     )
 
 
