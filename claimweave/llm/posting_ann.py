@@ -21,12 +21,12 @@ from claimweave.llm.common import unit, written
 #: Vectors to fit centroids on, drawn by a hash of vec_id.
 SAMPLE = 20_000
 #: Vectors a list is meant to hold, and the most lists there are.
-LIST_ROWS = 400
+LIST_ROWS = 1600
 MAX_LISTS = 4096
 #: A vector is put into lists up to this many, with distances up to this ratio.
-REPLICAS, REPLICA_RATIO = 4, 1.10
+REPLICAS, REPLICA_RATIO = 4, 1.06
 #: A query visits lists with distances up to this ratio, and at least so many.
-PROBE_RATIO, LEAST_PROBES = 1.18, 12
+PROBE_RATIO, LEAST_PROBES = 1.15, 4
 NEIGHBOURS, BEAM = 24, 96
 
 
