@@ -35,7 +35,7 @@ COMMON_FROM = 64
 #: The most shingles that come last, 8 bytes each; the least frequent of more don't.
 COMMON_LIMIT = 1 << 20
 #: Shingles that a task sorts at once to count them.
-COUNTED = 1 << 23
+COUNTED = 1 << 21
 #: Documents in a block of a region.
 BLOCK = 1024
 #: Documents that are compared one by one.
@@ -65,7 +65,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
             )
 
         for batch in batches:
-            for shingles in shingle_sets(batch.column(0).to_pylist()):
+            for shingles in shingle_sets(text.as_py() for text in batch.column(0)):
                 key = xxhash.xxh3_64_intdigest(shingles.tobytes())
                 if key not in seen:  # copies count once
                     seen.add(key)
@@ -139,7 +139,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
     """id and the bytes of the shingle set, for the classes in ``ids``, from the texts."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
             sets = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist())]
             keys = [xxhash.xxh3_128_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(

@@ -8,7 +8,7 @@ import numpy as np
 
 WORDS = 5
 #: Bytes of text that are hashed at once.
-SLICE = 1 << 22
+SLICE = 1 << 20
 
 _rng = np.random.default_rng(20240607)
 _VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64)
