@@ -204,7 +204,10 @@ class RegionJoin:
     """Links between documents of different groups, as many as connect them all."""
 
     def __init__(self, sets: list[np.ndarray], group: np.ndarray):
-        self.sets, self.size = sets, np.array([len(s) for s in sets])
+        self.size = np.array([len(s) for s in sets])
+        known, places = np.unique(np.concatenate(sets), return_inverse=True)
+        self.sets = np.split(places, np.cumsum(self.size)[:-1])
+        self.marked = np.zeros(len(known), bool)
         self.root = {g: g for g in group.tolist()}
         self.group, self.found = group.tolist(), []
 
@@ -218,7 +221,10 @@ class RegionJoin:
     def _shared(self, one: int, others: np.ndarray) -> np.ndarray:
         flat = np.concatenate([self.sets[i] for i in others])
         starts = np.concatenate([[0], np.cumsum(self.size[others])[:-1]])
-        return overlaps(self.sets[one], flat, starts)
+        self.marked[self.sets[one]] = True
+        shared = np.add.reduceat(self.marked[flat], starts, dtype=np.int64)
+        self.marked[self.sets[one]] = False
+        return shared
 
     def _connect(self, one: int, others: np.ndarray, shared: np.ndarray) -> None:
         for other in others[links(shared, self.size[one], self.size[others])].tolist():
@@ -242,14 +248,14 @@ class RegionJoin:
         # the pair's cell is that of the one nearer to its pivot; the other is within
         # twice the link distance of its own nearest
         inside = far <= far.min(1, keepdims=True) + WINDOW + 1e-9
+        if (inside.sum(0) ** 2).sum() >= len(members) ** 2:
+            # the windows hold nearly all: cells would be more work than all at once
+            self._compare(members)
+            return self.found
         for j in range(len(pivots)):
             cell = members[inside[:, j]]
-            roots = {self._root(i) for i in cell.tolist()}
-            if len(roots) > 1:
-                if len(cell) < 0.8 * len(members):
-                    self.join(cell)
-                else:
-                    self._compare(cell)
+            if len({self._root(i) for i in cell.tolist()}) > 1:
+                self.join(cell)
         return self.found
 
     def _compare(self, members: np.ndarray) -> None:
