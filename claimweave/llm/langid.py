@@ -20,7 +20,7 @@ SMOOTHING = 0.5
 #: of them, or about this many where there are more.
 SAMPLE_PER_LANGUAGE = 4000
 #: Code points that are hashed at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 UNDETERMINED = "und"
 
 
@@ -153,7 +153,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
             known = batch.column(2).to_numpy(zero_copy_only=False)
             texts = [t if k else "" for t, k in zip(batch.column(1).to_pylist(), known)]
             best, score = scores(model, texts)

@@ -23,8 +23,9 @@ from claimweave.llm.common import broadcast_if_small, written
 
 MAX_LENGTH = 2048
 END_ID = 1
-#: Distinct words after which a worker forgets their ids, about 150 bytes each.
-CACHED_WORDS = 700_000
+#: Distinct words whose ids a worker remembers, about 250 bytes each.  The first ones are
+#: the frequent ones; the others are encoded anew.
+CACHED_WORDS = 400_000
 #: Words that are looked up at once.
 SLICE_WORDS = 1 << 18
 
@@ -52,9 +53,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
         self.places: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.ends = np.zeros(1 << 18, np.int64)  # of the word in place p: ends[p] to ends[p + 1]
@@ -114,16 +112,18 @@ class WordTokenizer:
 
     def _slice(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and how many each has."""
-        if len(self.places) > CACHED_WORDS:
-            self.clear()
-        new = set(words).difference(self.places)
+        full = len(self.places) >= CACHED_WORDS
+        new = list(set(words).difference(self.places))
         if new:
-            self._learn(list(new))
+            self._learn(new)
         place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         starts = self.ends[place]
         lengths = self.ends[place + 1] - starts
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
+        if full:  # the next words take the same places
+            for word in new:
+                del self.places[word]
         return self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(total)], lengths
 
 
