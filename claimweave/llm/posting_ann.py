@@ -3,16 +3,17 @@
 Centroids are fitted on a bounded sample and found by a search in an in-memory graph.
 A vector goes into the list of its nearest centroid and, near a boundary, into lists
 of others; a query visits the lists whose centroids are not much farther than the
-nearest.  Largest inner products become least distances by one more dimension.
+nearest, how much is fitted to a target recall.  Largest inner products become least distances by one more dimension.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweave.llm.blocks import matrix, top_k, usable, widened
@@ -24,9 +25,12 @@ SAMPLE = 20_000
 LIST_ROWS = 1600
 MAX_LISTS = 4096
 #: A vector is put into lists up to this many, with distances up to this ratio.
-REPLICAS, REPLICA_RATIO = 4, 1.06
-#: A query visits lists with distances up to this ratio, and at least so many.
-PROBE_RATIO, LEAST_PROBES = 1.15, 4
+REPLICAS, REPLICA_RATIO = 4, 1.10
+#: A query visits lists with distances up to this ratio, or a larger one where recall
+#: needs it, and at least so many.
+PROBE_RATIO, LEAST_PROBES = 1.18, 12
+#: The recall that the ratio is fitted to, and queries it is fitted on, drawn by a hash.
+TARGET_RECALL, FIT_QUERIES = 0.99, 256
 NEIGHBOURS, BEAM = 24, 96
 
 
@@ -122,13 +126,90 @@ def lists_of(graph: CentroidGraph, vectors: np.ndarray) -> tuple[np.ndarray, np.
     return who, found[who, which]
 
 
-def probes_of(graph: CentroidGraph, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of query and list to visit."""
-    found, dist = graph.search(vectors)
-    near = dist <= PROBE_RATIO * dist[:, :1]
-    near[:, :LEAST_PROBES] = np.isfinite(dist[:, :LEAST_PROBES])
-    who, which = np.nonzero(near)
-    return who, found[who, which]
+def probes_of(
+    graph: CentroidGraph, vectors: np.ndarray, ratio: float = PROBE_RATIO
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of query and list to visit.  A query whose farthest list found is within
+    the ratio is searched again with a wider beam, and in the end among all lists."""
+    n, beam = len(graph.centroids), max(BEAM, LEAST_PROBES)
+    rest, pairs = np.arange(len(vectors)), []
+    while len(rest):
+        whole = 4 * beam >= n  # the search would look at most of the lists
+        own, left = rest, []
+        for part in np.array_split(own, len(own) // 512 + 1):
+            if whole:
+                dist = distances(vectors[part], graph.centroids)
+                found = dist.argsort(1, kind="stable")
+                dist = np.take_along_axis(dist, found, 1)
+            else:
+                found, dist = graph.search(vectors[part], beam)
+            ready = whole | (dist[:, -1] > ratio * dist[:, 0])
+            near = dist <= ratio * dist[:, :1]
+            near[:, :LEAST_PROBES] = np.isfinite(dist[:, :LEAST_PROBES])
+            who, which = np.nonzero(near & np.reshape(ready, (-1, 1)))
+            pairs.append((part[who], found[who, which]))
+            left.append(part[:0] if whole else part[~ready])
+        rest, beam = np.concatenate(left), 2 * beam
+    if not pairs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(parts) for parts in zip(*pairs))
+
+
+def neighbours(asked: pa.Table, rows: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id: the ``k`` nearest rows of the few vectors in ``asked``, by
+    comparison with all rows.  A task gives at most ``k`` rows for each."""
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (asked["vec_id"].to_numpy(), matrix(asked["embedding"], np.float64))
+    )
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, q = shared.value
+        held = np.full((len(own), k), -np.inf)
+        ids = np.zeros((len(own), k), np.int64)
+        for batch in (whole.slice(i, 4096) for whole in batches for i in range(0, whole.num_rows, 4096)):
+            w, others = matrix(batch.column(1), np.float64), batch.column(0).to_numpy()
+            width = max(q.shape[1], w.shape[1])
+            scores = widened(q, width) @ widened(w, width).T
+            scores[own[:, None] == others] = -np.inf
+            scores = np.concatenate([held, scores], axis=1)
+            everyone = np.concatenate([ids, np.broadcast_to(others, (len(own), len(others)))], axis=1)
+            top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+            held, ids = np.take_along_axis(scores, top, 1), np.take_along_axis(everyone, top, 1)
+        who, which = np.nonzero(np.isfinite(held))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own[who]), pa.array(ids[who, which]), pa.array(held[who, which])], ["query_id", "vec_id", "score"]
+        )
+
+    found = rows.mapInArrow(find, "query_id long, vec_id long, score double")
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return once.withColumn("_rank", rank).where(F.col("_rank") <= k).select("query_id", "vec_id")
+
+
+def fitted_ratio(asked: DataFrame, rows: DataFrame, index: DataFrame, graph: CentroidGraph, width: int, k: int) -> float:
+    """The ratio, at least PROBE_RATIO, with which the target share of the true
+    neighbours of a sample of queries is in a list that is visited."""
+    share = FIT_QUERIES / max(1, asked.count())
+    drawn = asked.where(unit(F.lit("recall"), F.col("vec_id")) < share).limit(2 * FIT_QUERIES).toArrow()
+    if not drawn.num_rows:
+        drawn = asked.limit(FIT_QUERIES).toArrow()
+    if not drawn.num_rows:
+        return PROBE_RATIO
+    # rows of at most two FIT_QUERIES times k neighbours
+    true = F.broadcast(neighbours(drawn, rows, k))
+    held = index.join(true, "vec_id").select("query_id", "vec_id", "list").distinct().toArrow()
+    queries = widened(matrix(drawn["embedding"], np.float32), width)
+    dist = distances(np.column_stack([queries, np.zeros(len(queries), np.float32)]), graph.centroids)
+    ratio = dist / np.maximum(dist.min(1, keepdims=True), 1e-30)
+    np.put_along_axis(ratio, dist.argsort(1, kind="stable")[:, :LEAST_PROBES], 0, 1)
+    place = {own: i for i, own in enumerate(drawn["vec_id"].to_pylist())}
+    needed: dict[tuple[int, int], float] = {}
+    for query, row, at in zip(*(held[c].to_pylist() for c in ("query_id", "vec_id", "list"))):
+        needed[query, row] = min(needed.get((query, row), np.inf), ratio[place[query], at])
+    if not needed:
+        return PROBE_RATIO
+    # a little more, as distances are rounded
+    return max(PROBE_RATIO, 1.0001 * float(np.quantile(list(needed.values()), TARGET_RECALL, method="higher")))
 
 
 def _spread(vectors: DataFrame, graph, reach: float, pick, name: str) -> DataFrame:
@@ -162,7 +243,8 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     zero, or hold NULL or non-finite components take no part, nor do rows without a
     vec_id.  A query isn't compared with rows of its own vec_id; ties go to the smaller
     vec_id.  Of queries with one vec_id the least vector counts, of rows with one
-    vec_id the best.  Short vectors end in zeros.  A list that has grown beyond a
+    vec_id the best.  Lists are visited up to a distance that finds TARGET_RECALL of the
+    true neighbours of a sample of queries.  Short vectors end in zeros.  A list that has grown beyond a
     block, as that of a vector with very many copies, is searched in several blocks.
     An empty side gives an empty result.
     """
@@ -191,5 +273,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     lists = max(1, min(MAX_LISTS, total // LIST_ROWS, len(sample) // 4))
     graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(sample, lists)))
     index = written(_spread(rows, graph, reach, lists_of, "vec_id"), "posting-lists")
-    probes = written(_spread(asked, graph, reach, probes_of, "query_id"), "probes")
+    asked = written(asked, "queries")
+    ratio = fitted_ratio(asked, rows, index, graph.value, width, k)
+    probes = written(_spread(asked, graph, reach, partial(probes_of, ratio=ratio), "query_id"), "probes")
     return top_k(probes, index, lambda q, w: q @ w.T, np.float64, "double", k)

@@ -82,6 +82,30 @@ def test_graph_search_finds_the_nearest_centroids():
     assert (np.diff(dist, axis=1) >= -1e-4).all()
 
 
+def test_every_list_within_the_ratio_is_visited(monkeypatch):
+    monkeypatch.setattr(posting_ann, "BEAM", 16)
+    made = vectors(3000, 5)
+    graph = posting_ann.CentroidGraph(posting_ann.balanced_centroids(made, 300))
+    true = posting_ann.distances(made[:600], graph.centroids)
+    for ratio in (1.18, 3.0):
+        pairs = set(zip(*(x.tolist() for x in posting_ann.probes_of(graph, made[:600], ratio))))
+        wanted = set(zip(*(x.tolist() for x in np.nonzero(true <= ratio * true.min(1, keepdims=True)))))
+        assert len(wanted - pairs) < 0.01 * len(wanted)
+
+
+def test_ratio_is_fitted_to_recall_of_vectors_in_random_directions(spark, monkeypatch):
+    monkeypatch.setattr(posting_ann, "LIST_ROWS", 15)
+    made = np.random.default_rng(6).normal(size=(3000, 32)).astype(np.float32)
+    rows = table(spark, [(i, v.tolist(), 0) for i, v in enumerate(made)]).select("vec_id", "embedding")
+    found = posting_ann.search(rows.where("vec_id % 20 = 0"), rows, 20).collect()
+    exact = made.astype(np.float64)
+    hits = 0
+    for query in range(0, 3000, 20):
+        wanted, _ = nearest(exact, query, 20, lambda q, w: w @ q)
+        hits += len({r.vec_id for r in found if r.query_id == query} & set(wanted))
+    assert hits / (150 * 20) >= 0.97
+
+
 def test_few_and_no_vectors(spark, as_table):
     one = table(spark, [(0, [1.0, 2.0], 0), (20, [1.0], 0)])
     folder = as_table(embeddings=one)
