@@ -19,8 +19,25 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content isn't shown.
 UNSHOWN = frozenset(
-    "head script style template noscript title iframe object svg math canvas audio video datalist select".split()
+    "head script style template noscript title iframe object canvas audio video datalist".split()
 )
+#: Elements that may stand in the head; any other ends it.
+OF_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
+#: Elements of drawings and formulas that aren't shown, and those that hold HTML.
+UNSHOWN_OF = {
+    "svg": frozenset(
+        "defs desc metadata symbol clippath mask pattern marker filter lineargradient radialgradient".split()
+    ),
+    "math": frozenset(("annotation", "annotation-xml", "mphantom")),
+}
+HOLDS_HTML = {"svg": ("foreignobject", "desc", "title"), "math": ("mi", "mo", "mn", "ms", "mtext")}
+#: Elements of HTML that end a drawing or formula they stand in.
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Elements of formulas whose parts stand apart.
+PARTS = frozenset("mfrac mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr".split())
 #: Blocks with an empty line before and after, and blocks with a line break only.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr".split())
 BROKEN = frozenset(
@@ -38,6 +55,10 @@ CLOSES = {
     "td": ("td", "th"),
     "th": ("td", "th"),
     "body": ("head",),
+    "option": ("option",),
+    "optgroup": ("option", "optgroup"),
+    "input": ("select",),
+    "textarea": ("select",),
     **{group: (*ROW_GROUPS, "tr", "td", "th", "caption") for group in ROW_GROUPS},
 }
 SCOPE = {
@@ -47,6 +68,10 @@ SCOPE = {
     "tr": ("table",),
     "td": ("table", "tr"),
     "th": ("table", "tr"),
+    "option": ("select", "datalist"),
+    "optgroup": ("select", "datalist"),
+    "input": ("table",),
+    "textarea": ("table",),
     **{group: ("table",) for group in ROW_GROUPS},
 }
 #: End tags that close elements outside the nearest table.
@@ -56,11 +81,14 @@ BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "kind", "holds")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
+    def __init__(self, tag: str, attrs: dict[str, str], within: str = ""):
         self.tag, self.attrs = tag, attrs
         self.children: list[Node | str] = []
+        #: "svg", "text" (text of an svg), "math", or nothing for HTML, and that of what it holds
+        self.kind = tag if tag in ("svg", "math") else "text" if (within, tag) == ("svg", "text") else within
+        self.holds = "" if tag in HOLDS_HTML.get(self.kind.replace("text", "svg"), ()) else self.kind
 
 
 class TreeBuilder(HTMLParser):
@@ -71,21 +99,38 @@ class TreeBuilder(HTMLParser):
         self.root = Node("#root", {})
         self.open = [self.root]
         self.unshown = 0  # depth in a subtree that isn't shown
+        self.begun = False  # something has come that may not stand in the head
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in BLOCKS:
-            self._close_to("p", ("button", "td", "th", "table", "li", "caption"))
-        self._imply(tag)
+        if tag in ENDS_FOREIGN:
+            self._end_foreign()
+        within = self.open[-1].holds
+        if not within:
+            if tag not in OF_HEAD:
+                self._end_head()
+            elif tag == "head" and (self.begun or self.open[-1].tag not in ("#root", "html")):
+                return
+            if tag in BLOCKS and tag not in ("option", "optgroup"):
+                self._close_to("p", ("button", "td", "th", "table", "li", "caption"))
+            if tag == "select" and self._in_select():
+                self._close_to("select", ("table",))
+                return
+            self._imply(tag)
         named = {k: v or "" for k, v in attrs}
         hidden = (
             tag in UNSHOWN or "hidden" in named or HIDING.search(named.get("style", "")) is not None
             or (tag == "input" and named.get("type", "").lower() == "hidden")
         )
+        if within:
+            hidden |= tag in UNSHOWN_OF[within.replace("text", "svg")] or named.get("display", "").strip() == "none"
+            hidden |= named.get("visibility", "").strip() in ("hidden", "collapse")
+        elif tag == "option" and self._in_select():
+            hidden = False  # a hidden option is shown while it is selected
         if tag in VOID:
             if not hidden and not self.unshown and tag in ("br", "hr", "wbr"):
                 self.open[-1].children.append(Node(tag, named))
             return
-        node = Node(tag, named)
+        node = Node(tag, named, within)
         if hidden or self.unshown:
             self.unshown += 1
         else:
@@ -93,9 +138,17 @@ class TreeBuilder(HTMLParser):
         self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # a slash doesn't close an element of HTML
+        depth, last = len(self.open), self.open[-1]
+        self.handle_starttag(tag, attrs)
+        # a slash doesn't close an element of HTML
+        if self.open[-1] is not last and self.open[-1].kind and tag not in VOID and len(self.open) > depth:
+            self._pop()
 
     def handle_endtag(self, tag: str) -> None:
+        if self.open[-1].tag == "head" and tag not in ("head", "body", "html", "br"):
+            return
+        if tag == "p":
+            self._end_foreign()
         if tag == "br":
             self.handle_starttag("br", [])
         elif tag == "p" and not any(n.tag == "p" for n in self.open):
@@ -105,9 +158,33 @@ class TreeBuilder(HTMLParser):
             self._close_to(tag, () if tag in OUTER else ("table",))
 
     def handle_data(self, data: str) -> None:
-        if not self.unshown:
+        within = self.open[-1].holds
+        if not within and self.open[-1].tag in ("#root", "html", "head") and data.strip(" \t\n\r\f"):
+            self._end_head()
+        if not self.unshown and within != "svg" and not (within == "math" and data.isspace()):
             self.open[-1].children.append(data)
 
+    def unknown_decl(self, data: str) -> None:
+        if data.startswith("CDATA[") and self.open[-1].holds:
+            self.handle_data(data[6:])
+
+    def _end_head(self) -> None:
+        """What comes next may not stand in the head."""
+        if self.open[-1].tag == "head":
+            self._pop()
+        if self.open[-1].tag in ("#root", "html"):
+            self.begun = True
+
+    def _end_foreign(self) -> None:
+        while self.open[-1].holds:
+            self._pop()
+
+    def _in_select(self) -> bool:
+        for node in reversed(self.open):
+            if node.tag in ("select", "table"):
+                return node.tag == "select"
+        return False
+
     def _imply(self, tag: str) -> None:
         names, scope = CLOSES.get(tag, ()), SCOPE.get(tag, ())
         for i in range(len(self.open) - 1, 0, -1):
@@ -184,6 +261,50 @@ class Page:
         return "\n".join(self.lines)
 
 
+def content(node: Node) -> str:
+    """All text below a node, blanks as one space."""
+    parts, stack = [], [node]
+    while stack:
+        below = stack.pop()
+        if isinstance(below, str):
+            parts.append(below)
+        else:
+            stack += reversed(below.children)
+    return " ".join(word for word in BLANK.split("".join(parts)) if word)
+
+
+def shown_options(select: Node) -> list[str]:
+    """What a choice shows: all options as a list, else the selected one, or the first
+    that can be chosen."""
+    options: list[Node] = []
+    labels: list[tuple[str, bool]] = []
+    stack = [(child, False) for child in reversed(select.children)]
+    while stack:
+        node, off = stack.pop()
+        if isinstance(node, str):
+            continue
+        if node.tag == "option":
+            options.append(node)
+            hidden = "hidden" in node.attrs or HIDING.search(node.attrs.get("style", "")) is not None
+            labels.append((node.attrs.get("label") or content(node), off or "disabled" in node.attrs))
+            if hidden:
+                labels[-1] = (labels[-1][0], True)
+                node.attrs["hidden"] = ""
+            continue
+        if node.tag == "optgroup" and node.attrs.get("label"):
+            group = Node("group", {})
+            options.append(group)
+            labels.append((node.attrs["label"], True))
+        off = off or (node.tag == "optgroup" and "disabled" in node.attrs)
+        stack += [(child, off) for child in reversed(node.children)]
+    size = select.attrs.get("size", "")
+    if "multiple" in select.attrs or (size.isdigit() and int(size) > 1):
+        return [label for option, (label, _) in zip(options, labels) if "hidden" not in option.attrs]
+    chosen = [label for option, (label, _) in zip(options, labels) if "selected" in option.attrs]
+    free = [label for label, off in labels if not off]
+    return chosen[-1:] or free[:1]
+
+
 def render(root: Node) -> str:
     """The text of a tree, walked with a stack of own, as pages may nest deeply."""
     page = Page()
@@ -206,9 +327,23 @@ def render(root: Node) -> str:
             page.text("---")
             page.block(True)
             continue
+        if tag == "select" and not node.kind:
+            # a box of its own, in which a list has lines
+            shown = shown_options(node)
+            for i, label in enumerate(shown):
+                page.text(f" {label} ")
+                if i < len(shown) - 1:
+                    page.end_line()
+            continue
+        apart = (node.kind == "text" and (tag == "text" or not node.attrs.keys().isdisjoint(("x", "y", "dy"))))
+        if apart:
+            page.text(" \n ")
         if not leaving:
             stack.append((node, True))
-            stack += [(child, False) for child in reversed(node.children)]
+            for child in reversed(node.children):
+                stack.append((child, False))
+                if tag in PARTS and node.kind == "math":
+                    stack.append((" ", False))
             if tag == "table":
                 page.block(not cells)
                 cells.append({"rows": [], "page": page, "stack": []})

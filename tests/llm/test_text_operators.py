@@ -163,6 +163,28 @@ def test_layout(html, text):
     assert visible_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<html><head><title>T</title><p>Hello", "Hello"),
+    ("<html><head><title>T</title><meta charset=utf-8>\n Hello", "Hello"),
+    ("<head><style>a</style><script>b</script><link rel=x><noscript>n</noscript><div>c</div></head>d", "c\nd"),
+    ("<head></p><title>T</title></head><p>a<head>b", "ab"),
+    ("<p>pick <select><option>a<option selected>b<option>c</select> now", "pick b now"),
+    ("<select><option selected hidden disabled>Choose<option>a</select><select><option disabled>x<option>y</select>z", "Choose y z"),
+    ("<select multiple><optgroup label=G><option>a<option hidden>h<option label=L>b</select>", "G\na\nL"),
+    ("<table><tr><td><select><option>a<option>b<td>c</table>", "a  c"),
+    ("<datalist><option>a</datalist>b", "b"),
+    ("x<svg/>y<p>z", "xy\n\nz"),
+    ("<svg><title>t</title><path d='M0 0'/><text>one <tspan>two</tspan></text>\n<text>three</text></svg>four", "one two three four"),
+    ("<svg><defs><text>a</text></defs>b<g><foreignObject><div>c</div></foreignObject></g></svg>d", "c\nd"),
+    ("<svg><path><p>a</p>b", "a\n\nb"),
+    ("<svg><text display=none>a</text><text><![CDATA[b]]></text></svg>", "b"),
+    ("<p>so <math> <mi>x</mi> <mo>=</mo> <mfrac><mn>1</mn><mn>2</mn></mfrac><mspace/></math> holds", "so x= 1 2 holds"),
+    ("<math><semantics><mi>x</mi><annotation>tex</annotation></semantics></math><math/>y", "xy"),
+])
+def test_implied_head_choices_drawings_and_formulas(html, text):
+    assert visible_text(html) == text
+
+
 def test_blocks_round_trip():
     rng = random.Random(9)
     for _ in range(200):
