@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimweave.llm.common import broadcast_if_small, written
 from claimweave.llm.shingles import shingle_sets
@@ -146,12 +147,13 @@ def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["id", "key", "shingles"]
             )
 
-    ids = broadcast_if_small(written(ids.distinct(), "wanted-sets"))
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-    built = texts.mapInArrow(build, "id long, key binary, shingles binary")
+    wanted = classes.select("id", "doc_id", "key").join(ids.distinct(), "id", "left_semi")
+    wanted = broadcast_if_small(written(wanted, "wanted-sets"))
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted.select(F.col("doc_id").alias("id")), "id", "left_semi")
+    built = texts.mapInArrow(build, "id long, key binary, shingles binary").withColumnRenamed("id", "doc_id")
     # rows that repeat a doc_id with another text are of another class
-    own = built.join(classes.select("id", "key"), ["id", "key"], "left_semi")
-    return written(own.dropDuplicates(["id"]).drop("key"), "sets")
+    own = built.join(wanted, ["doc_id", "key"])
+    return written(own.select("id", "shingles").dropDuplicates(["id"]), "sets")
 
 
 # -------------------------------------------------------------- comparing pairs
@@ -437,23 +439,34 @@ def components(edges: DataFrame) -> DataFrame:
 # -------------------------------------------------------------------- the join
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id for each row of ``docs`` (doc_id, text).
+def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
+    """The signatures of ``docs`` (doc_id, text); a class (id, doc_id, key, n) for each
+    set of a named document; doc_ids whose rows have several sets, None if there are none;
+    and links (a, b) between ids of classes, as many as connect them.
 
-    Documents with equal sets are one class and are compared once.  A NULL or empty
-    text has the empty set and is linked with nothing, its component is its doc_id.
-    Rows that repeat a doc_id are rows of the result; a row without a doc_id takes part
-    only if others with an equal set have one, and gets their component, else NULL.
-    Other columns are left out.
-    """
-    docs = docs.select("doc_id", "text")
+    The id of a class is its least doc_id, or a number above all doc_ids if another class
+    has that one."""
     signed = written(signatures(docs, common_shingles(docs)), "signatures")
     first = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
     classes = written(
         signed.where("n > 0 AND doc_id IS NOT NULL").withColumn("_nth", first).where("_nth = 1").drop("_nth")
-        .withColumnRenamed("doc_id", "id"),
+        .withColumn("id", F.col("doc_id")),
         "classes",
     )
+    keys = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("key").alias("_low"), F.max("key").alias("_high"))
+    several = written(keys.where("_low < _high").select("doc_id"), "several-sets")
+    if not several.limit(1).count():
+        several = None
+    else:
+        least = classes.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("key").alias("_least"))
+        least = broadcast_if_small(written(least, "least-keys"))
+        above = signed.agg(F.max("doc_id")).first()[0] + 1
+        other = F.col("_least").isNotNull() & (F.col("key") != F.col("_least"))
+        fresh = F.lit(above).cast("long") + F.monotonically_increasing_id()
+        classes = written(
+            classes.join(least, "doc_id", "left").withColumn("id", F.when(other, fresh).otherwise(F.col("doc_id"))).drop("_least"),
+            "classes",
+        )
     regions = window_regions(classes)
     pairs = (
         regions.where("id <> pivot AND 4 * least(n, pivot_n) >= 3 * greatest(n, pivot_n)")
@@ -463,11 +476,55 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     stars = verified(docs, classes, pairs)
     edges = both_ways(stars)
     labels = written(hop(edges, first_labels(edges)), "labels")
-    # one doc_id can name rows of several classes
-    names = classes.groupBy("key").agg(F.min("id").alias("id"))
-    found = components(stars.union(region_links(docs, classes, regions, labels)))
-    parts = names.join(found, "id", "left").select("key", F.coalesce("label", "id").alias("_component"))
-    return signed.select("doc_id", "n", "key").join(parts, "key", "left").select(
+    return signed, classes, several, stars.union(region_links(docs, classes, regions, labels))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id for each row of ``docs`` (doc_id, text).
+
+    Documents with equal sets are one class and are compared once.  A NULL or empty
+    text has the empty set and is linked with nothing, its component is its doc_id's.
+    Rows that repeat a doc_id are rows of the result and of one component, whatever their
+    texts; a row without a doc_id takes part only if others with an equal set have one,
+    and gets their component, else NULL.  Other columns are left out.
+    """
+    docs = docs.select("doc_id", "text")
+    signed, classes, several, edges = class_links(docs)
+    if several is not None:
+        named = signed.where("n > 0").join(several, "doc_id", "left_semi").join(classes.select("id", "key"), "key")
+        edges = edges.union(named.where("id <> doc_id").select("id", "doc_id"))
+    found = components(edges)
+    parts = classes.select("id", "key").join(found, "id", "left").select("key", F.coalesce("label", "id").alias("_component"))
+    empty = F.col("doc_id")
+    if several is not None:  # an empty text of a document that has others
+        signed = signed.join(found.toDF("doc_id", "_own"), "doc_id", "left")
+        empty = F.coalesce("_own", "doc_id")
+    return signed.join(parts, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("_component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("_component")).otherwise(empty).alias("component_id"),
     )
+
+
+def leaders(docs: DataFrame) -> DataFrame:
+    """doc_id, key (of the set) and leads for each row of ``docs``: true for rows of the
+    document that stands for a group of linked sets, and for empty texts.  Other texts of
+    the same doc_id don't link sets."""
+    docs = docs.select("doc_id", "text")
+    signed, classes, _, edges = class_links(docs)
+    grouped = classes.select("id", "key", "doc_id").join(components(edges), "id", "left")
+    head = F.min(F.struct(F.col("doc_id").alias("_first"), "key")).alias("_head")
+    heads = grouped.groupBy(F.coalesce("label", "id").alias("label")).agg(head).select("_head.*")
+    leads = (F.col("n") == 0) | F.coalesce(F.col("_first") == F.col("doc_id"), F.lit(False))
+    return signed.select("doc_id", "n", "key").join(heads, "key", "left").select("doc_id", "key", leads.alias("leads"))
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` in a struct ``kept``, and the ``key`` of each text's set."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
+            keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in shingle_sets(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["kept", "key"])
+
+    rows = docs.select(F.struct(*docs.columns).alias("kept"), "text")
+    return rows.mapInArrow(sign, T.StructType([rows.schema["kept"]]).add("key", "binary"))

@@ -69,6 +69,16 @@ def test_equals_brute_force(spark, documents, as_table, monkeypatch, seed, commo
     assert nameless == [(2, None)]
 
 
+def test_one_doc_id_with_several_texts(spark, documents):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(900)], k=60)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(texts[:6])]
+    rows += [(20, texts[6]), (20, texts[7]), (20, texts[8]), (20, ""), (21, texts[6] + " x"), (22, texts[7] + " y"), (23, texts[8])]
+    rows += [(30, texts[9]), (30, texts[0] + " z"), (31, texts[9] + " z"), (31, texts[10]), (32, texts[10] + " q"), (33, texts[11])]
+    found = jaccard.jaccard_components(documents(*rows)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
+
+
 def test_very_long_text_is_hashed_whole():
     text = "".join(f"word{i} " for i in range(700_000)) + "x" * 5_000_000 + " tail of the text"
     (whole,) = shingle_sets([text])

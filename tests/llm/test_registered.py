@@ -91,6 +91,14 @@ def test_pipeline_equals_brute_force(spark, documents, as_table, monkeypatch):
     assert Counter((r.doc_id, r.start, tuple(r.ids)) for r in found.values()) == +wanted
 
 
+def test_another_text_of_a_doc_id_stays(spark, documents):
+    rng = random.Random(13)
+    a, b, c, d = (" ".join(rng.choices([f"w{i}" for i in range(900)], k=60)) for _ in range(4))
+    rows = [(1, a), (5, a + " x"), (5, b), (5, b), (5, c), (6, c + " x"), (7, d), (8, d), (5, ""), (None, a)]
+    kept = corpus_pipeline.drop_near_copies(spark, documents(*rows), "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, a), (5, b), (5, c), (7, d), (5, ""), (None, a)])
+
+
 def test_stages_on_an_empty_table(spark, documents, as_table):
     empty = documents().limit(0)
     folder = as_table(documents=empty)
