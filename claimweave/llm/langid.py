@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -19,9 +20,19 @@ SMOOTHING = 0.5
 #: Labelled documents to learn from for each language, drawn by a hash of doc_id: all
 #: of them, or about this many where there are more.
 SAMPLE_PER_LANGUAGE = 4000
+#: Held-out labelled documents that a language's bounds are taken from, about; a language
+#: with less than the least has none.
+FIT_SAMPLE, LEAST_FIT = 1000, 20
+#: Code points of the parts of texts that bounds are taken for.
+FIT_LENGTHS = (8, 16, 32, 64, 128, 256, 512, 1024)
+#: A bound is so many times as far below the median as the hundredth part is, which is
+#: counted as so far at least.
+FIT_REACH, FIT_SPREAD = 2.5, 0.2
 #: Code points that are hashed at once.
 SLICE = 1 << 18
 UNDETERMINED = "und"
+#: Numbers, addresses and codes, which are of no language.
+NO_WORD = re.compile(r"\S*[\d@]\S*")
 
 
 class Model(NamedTuple):
@@ -107,18 +118,89 @@ def train(labelled: DataFrame) -> Model:
     return Model(languages, np.log(prior / prior.sum()), table.astype(np.float32))
 
 
-def scores(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The most probable language of each text and its posterior probability."""
-    total = np.tile(model.log_prior, (len(texts), 1))
+def totals(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of each text in each language, without the prior, and the number
+    of its n-grams."""
+    total, n = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), np.int64)
     for codes, owner in slices(texts):
         for bucket, text in grams(codes, owner):
             if len(bucket):
                 # texts rise, so each is a run of rows of the sparse batch
                 starts = np.flatnonzero(np.diff(text, prepend=-2))
                 total[text[starts]] += np.add.reduceat(model.log_probability[bucket], starts, dtype=np.float64)
-    best = total.argmax(1) if len(texts) else np.zeros(0, int)
-    top = total[np.arange(len(texts)), best]
-    return best, 1 / np.exp(total - top[:, None]).sum(1)
+                n += np.bincount(text, minlength=len(texts))
+    return total, n
+
+
+def scores(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The most probable language of each text, its posterior probability, the text's mean
+    log-probability for each n-gram in that language, and the number of n-grams."""
+    total, n = totals(model, texts)
+    posterior = total + model.log_prior
+    best = posterior.argmax(1) if len(texts) else np.zeros(0, int)
+    every = np.arange(len(texts))
+    fit = total[every, best] / np.maximum(n, 1)
+    return best, 1 / np.exp(posterior - posterior[every, best][:, None]).sum(1), fit, n
+
+
+def fit_bounds(docs: DataFrame, model: Model) -> np.ndarray:
+    """For each length of FIT_LENGTHS and each language of the model, the mean
+    log-probability for an n-gram below which a text of that length or more isn't of the
+    language.  It is taken from labelled documents that the model hasn't learned from."""
+    known = docs.where(is_held_out()).where("lang IS NOT NULL AND text IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # a row for each language
+    drawn = known.join(F.broadcast(sizes), "lang").where(
+        unit(F.lit("langfit"), F.col("doc_id")) < F.lit(FIT_SAMPLE) / F.col("_n")
+    )
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            place = [model.languages.index(x) if x in model.languages else -1 for x in batch.column(0).to_pylist()]
+            for i, length in enumerate(FIT_LENGTHS):
+                # the beginning and the middle; a shorter text is measured as it is
+                parts, own = [], []
+                for at, text in zip(place, batch.column(1).to_pylist()):
+                    if at >= 0:
+                        parts += [text[:length], text[len(text) // 2 :][:length]] if len(text) > length else [text]
+                        own += [at] * (len(parts) - len(own))
+                total, n = totals(model, parts)
+                own = np.array(own, np.int64)
+                fit = total[np.arange(len(parts)), own] / np.maximum(n, 1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i)), pa.array(own), pa.array(fit)], ["length", "lang", "fit"])
+
+    # at most a few thousand rows for each language
+    found = drawn.select("lang", "text").mapInArrow(measure, "length long, lang long, fit double").toArrow()
+    length, lang, fit = (found[c].to_numpy() for c in ("length", "lang", "fit"))
+    bounds = np.full((len(FIT_LENGTHS), len(model.languages)), -np.inf)
+    for i in range(len(FIT_LENGTHS)):
+        for j in range(len(model.languages)):
+            own = fit[(length == i) & (lang == j)]
+            if len(own) >= LEAST_FIT:
+                low, middle = np.quantile(own, [0.01, 0.5])
+                bounds[i, j] = middle - FIT_REACH * max(middle - low, FIT_SPREAD)
+    return bounds
+
+
+def fits(
+    model: Model, bounds: np.ndarray, texts: list[str], best: np.ndarray, fit: np.ndarray, n: np.ndarray
+) -> np.ndarray:
+    """True for texts that fit the language ``best``, whole or by their words without a
+    digit or sign of addresses."""
+
+    def within(fit: np.ndarray, n: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        # a text of three code points or more has 3 n-grams for each but 3
+        longest = np.searchsorted(np.array(FIT_LENGTHS), n // 3 + 1, side="right") - 1
+        return (longest < 0) | (fit >= bounds[longest, lang])
+
+    found = within(fit, n, best)
+    rest = np.flatnonzero(~found)
+    if len(rest):
+        total, n = totals(model, [" ".join(NO_WORD.sub(" ", texts[i]).split()) for i in rest])
+        found[rest] = within(total[np.arange(len(rest)), best[rest]] / np.maximum(n, 1), n, best[rest])
+    return found
 
 
 def is_held_out() -> Column:
@@ -137,11 +219,12 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return drawn.select("lang", "text")
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None, bounds: np.ndarray | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``lang_score``, columns that it must not have.
 
     The prediction reads the whole text and nothing else.  A NULL text, an empty one and
-    one without a letter get ``und`` and 0, as does every text without a model.
+    one without a letter get ``und`` and 0, as does every text without a model, and with
+    ``bounds`` (see ``fit_bounds``) one that fits none of the languages.
     """
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:
@@ -156,7 +239,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
             known = batch.column(2).to_numpy(zero_copy_only=False)
             texts = [t if k else "" for t, k in zip(batch.column(1).to_pylist(), known)]
-            best, score = scores(model, texts)
+            best, score, fit, n = scores(model, texts)
+            if bounds is not None:
+                known = known & fits(model, bounds, texts, best, fit, n)
             langs = [model.languages[b] if k else UNDETERMINED for b, k in zip(best, known)]
             columns = batch.column(0).flatten()
             columns.insert(place, batch.column(1))

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from claimweave.llm import html_text, langid, pii, queries
 from claimweave.llm.html_text import visible_text
 
@@ -30,6 +31,21 @@ def test_language_accuracy_on_held_out_documents(spark, documents, as_table):
     assert all(0 <= r.score <= 1 for r in found) and not by_id[None].held_out
 
 
+def test_texts_of_no_known_language_go(spark, documents):
+    rng = random.Random(3)
+    words = {lang: ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(150)] for lang, letters in
+             (("aa", "abcdeaei"), ("bb", "lmnopouu"), ("xx", "abcqwxzy"))}
+    def made(lang, n):
+        return " ".join(rng.choices(words[lang], k=n))
+    rows = [(i, made(lang, rng.choice([3, 60])), lang, "s") for i, lang in enumerate(rng.choices(["aa", "bb"], k=600))]
+    odd = ["Съешь же ещё этих мягких французских булок", "これは日本語の文章です。今日はいい天気です", made("xx", 12), prose(rng, "bcdfghjklmnpqrstvwxyz", 20)]
+    short = [made("aa", 2), made("bb", 3), made("aa", 1)[:3], made("aa", 4) + " 4734663219866878 2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"]
+    docs = documents(*rows, *[(1000 + i, t, None, "s") for i, t in enumerate(odd)], *[(2000 + i, t, None, "s") for i, t in enumerate(short)])
+    kept = {r.doc_id for r in corpus_pipeline.keep_languages(spark, docs, "").collect()}
+    assert not kept & set(range(1000, 1004)) and kept >= {2000, 2001, 2002, 2003}
+    assert len(kept & set(range(600))) >= 597
+
+
 def test_long_text_scores_as_the_sum_of_its_n_grams(monkeypatch):
     rng = random.Random(2)
     text = prose(rng, "abcdeéß", 400)
