@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import exact_topk, hilbert, html_text, jaccard, langid, mixing, packing, pii, posting_ann, secrets
+from claimweave.llm import byte_bpe, exact_topk, hilbert, html_text, jaccard, langid, mixing, packing, pii, posting_ann, secrets
 from claimweave.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -306,3 +306,17 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+# ---------------------------------------------------------------- 11 byte-level BPE
+
+
+@register
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
