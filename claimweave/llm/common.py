@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +67,24 @@ def unit(*parts: Column) -> Column:
     """A number from 0 up to 1, drawn by a hash of the parts."""
     text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
+def batches_of(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of ``size`` rows."""
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield _batch(held, schema)
+            held = []
+    yield _batch(held, schema)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

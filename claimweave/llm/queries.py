@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import byte_bpe, exact_topk, hilbert, html_text, jaccard, langid, mixing, packing, pii, posting_ann, secrets
+from claimweave.llm import byte_bpe, exact_topk, hilbert, html_text, jaccard, langid, merkle, mixing, packing, pii, posting_ann, secrets
 from claimweave.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,17 +73,29 @@ def _curve_steps(axes: list[str], bits: int) -> Iterator[dict[str, str]]:
     yield {"_cell": " + ".join(terms)}
 
 
+def _crc32_sql(bytes_: str) -> str:
+    """The CRC-32 of a list of bytes, by the table of the reflected polynomial."""
+    crc = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        crc.append(value)
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {bytes_}),"
+        f" lambda c, b: xor(c >> 8, {crc}[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+def _bytes_sql(text: str) -> str:
+    return f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+
+
 def _hilbert_sql() -> str:
     """Levels by counting rows below, the curve by the same published steps, shards by
     dealing the ranked rows."""
     def h32(c: str) -> str:
         return f"('0x' || md5(coalesce({c}::VARCHAR, ''))[1:8])::BIGINT"
 
-    crc = []  # the table of the reflected polynomial, by its rule
-    for value in range(256):
-        for _ in range(8):
-            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
-        crc.append(value)
     steps = [
         "base AS (SELECT doc_id, coalesce(text, '') AS t, source, lang, n_chars,"
         f" CASE WHEN source IS NULL THEN -1 ELSE {h32('source')} % 4096 END AS r0,"
@@ -101,12 +113,9 @@ def _hilbert_sql() -> str:
         old = [name for name in step if name in names]
         rest = f"* EXCLUDE ({', '.join(old)})" if old else "*"
         steps.append(f"s{k} AS MATERIALIZED (SELECT {rest}, {', '.join(kept)} FROM s{k - 1})")
-    bytes_ = "list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT)"
     steps.append(
         f"sized AS (SELECT doc_id, _cell AS curve, strlen(t) + 16 AS size,"
-        f" xor(list_reduce(list_prepend(4294967295, {bytes_}),"
-        f" lambda c, b: xor(c >> 8, {crc}[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32"
-        f" FROM s{k})"
+        f" {_crc32_sql(_bytes_sql('t'))} AS text_crc32 FROM s{k})"
     )
     steps.append(
         "ranked AS (SELECT *, row_number() OVER (ORDER BY curve,"
@@ -320,3 +329,71 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+# ------------------------------------------------------------- 12 Merkle manifest
+
+
+@register
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
+def _merkle_sql() -> str:
+    """Levels by recursion: runs of three are joined and hashed; a leaf's siblings and
+    fold go up the same levels."""
+    fields = " || ".join(
+        f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars")
+    )
+    text = "coalesce(strlen({0})::VARCHAR || ':' || {0}, '-')"
+    tampered = f"CASE WHEN {_crc32_sql(_bytes_sql('doc_id::VARCHAR'))} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+    def levels(name: str, first: str) -> str:
+        return f"""{name} AS (
+  {first}
+  UNION ALL
+  SELECT tree, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 2) // 3)
+  FROM {name} WHERE n > 1 GROUP BY tree, level, i // 3
+)"""
+
+    def run(name: str) -> str:
+        return f"""SELECT a.tree, a.level, a.i,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS behind
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY a.tree, a.level, a.i"""
+
+    return f"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, coalesce('=' || source, '-') AS tree, sha256({fields} || {text.format('text')}) AS leaf,
+    sha256({fields} || {text.format(f'({tampered})')}) AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM given
+), {levels("nodes", "SELECT tree, 0 AS level, i, leaf AS h, n FROM placed")},
+subroots AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), {levels("tops", "SELECT 'root' AS tree, 0 AS level, i, h, n FROM subroots")},
+runs AS MATERIALIZED ({run("nodes")}), top_runs AS MATERIALIZED ({run("tops")}),
+climbed AS (
+  SELECT tree || ':' || i AS id, tree, 0 AS level, i, tampered AS h, '' AS siblings FROM placed
+  UNION ALL
+  SELECT id, c.tree, c.level + 1, c.i // 3, sha256(before || c.h || behind), siblings || before || behind
+  FROM climbed c JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.i = c.i
+), up AS (
+  SELECT id, 0 AS level, s.i, c.h, siblings FROM climbed c JOIN subroots s ON s.tree = c.tree
+  WHERE c.level = (SELECT max(level) FROM nodes x WHERE x.tree = c.tree)
+  UNION ALL
+  SELECT id, u.level + 1, u.i // 3, sha256(before || u.h || behind), siblings || before || behind
+  FROM up u JOIN top_runs r ON r.level = u.level AND r.i = u.i
+)
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(u.siblings) AS proof_sha256, u.h AS folded_root,
+  u.h = t.h AS verified
+FROM placed p JOIN subroots s USING (tree) JOIN tops t ON t.n = 1
+JOIN up u ON u.id = p.tree || ':' || p.i AND u.level = t.level
+"""
+
+
+SQL["op12_merkle"] = _merkle_sql()

@@ -22,7 +22,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def test_all_are_registered():
     names = entry_points.queries().keys()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert names >= {*queries.QUERIES, "pipeline"} and entry_points.oracle_sql().keys() >= queries.SQL.keys()
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language ID", "n-gram Jaccard join", "PII", "mixing sources to target weights", "packing"
@@ -32,7 +32,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", queries.SQL)
 def test_matches_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS FROM '{SF_DIR}/{table}.parquet'")
     wanted = connection.execute(queries.SQL[name])
     columns = [c[0] for c in wanted.description]
