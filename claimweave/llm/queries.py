@@ -7,7 +7,10 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import byte_bpe, exact_topk, hilbert, html_text, jaccard, langid, merkle, mixing, packing, pii, posting_ann, secrets
+from claimweave.llm import (
+    byte_bpe, conversations, exact_topk, hilbert, html_text, jaccard, langid, merkle, mixing, packing, pii, posting_ann,
+    secrets,
+)
 from claimweave.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -397,3 +400,95 @@ JOIN up u ON u.id = p.tree || ':' || p.i AND u.level = t.level
 
 
 SQL["op12_merkle"] = _merkle_sql()
+
+
+# ------------------------------------------------------- 13 conversation repair
+
+
+@register
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
+def _conversations_sql() -> str:
+    """From the last row to the first, the least (cost, audit) from each of the four
+    states of the grammar; then the audit is read off against the rows."""
+    crc = _crc32_sql(_bytes_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"))
+    never = "{'c': 1000000000::BIGINT, 'a': ''}"
+
+    def plus(cost: str, letters: str, state: int) -> str:
+        return f"{{'c': v{state}.c + {cost}, 'a': {letters} || v{state}.a}}"
+
+    def option(state: int) -> str:
+        """What row r can become in a state, v0 to v3 being the least that follow."""
+        wanted, other, then = ("a", "u", 3) if state == 2 else ("u", "a", 2)
+        back = 5 - then  # the state after one more turn
+        choices = [plus("4", "'D'", state)]
+        kept = [
+            plus(f"x + CASE WHEN i0 = '{wanted}' THEN 0 ELSE 3 END", f"CASE WHEN i0 = '{wanted}' THEN 'K' ELSE 'R' END", then),
+            plus(f"3 + x + CASE WHEN i0 = '{other}' THEN 0 ELSE 3 END", f"CASE WHEN i0 = '{other}' THEN 'IK' ELSE 'IR' END", back),
+        ]
+        if state == 0:
+            kept.append(f"CASE WHEN i0 = 's' THEN {plus('x', repr('K'), 1)} ELSE {never} END")
+        choices += [f"CASE WHEN fault IN (1, 2) THEN {never} ELSE {k} END" for k in kept]
+        return f"list_min([{', '.join(choices)}])"
+
+    return rf"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS fate FROM conversations
+), broken AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM marked WHERE fate <> 0
+), ordered AS (
+  SELECT *, left(role, 1) AS i0, rtrim(text, E' 	
+') AS ended,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), copy) AS n
+  FROM broken
+), judged AS (
+  SELECT *, CASE WHEN ended = '' THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 2
+      WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lag(i0) OVER (PARTITION BY conv_id ORDER BY n) || i0 AS pair
+  FROM ordered
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    count(*) AS rows_
+  FROM judged GROUP BY conv_id
+), best AS (
+  SELECT conv_id, rows_ AS n, {{'c': 0::BIGINT, 'a': ''}} AS v0, {{'c': 6::BIGINT, 'a': 'II'}} AS v1,
+    {{'c': 3::BIGINT, 'a': 'I'}} AS v2, {{'c': 0::BIGINT, 'a': ''}} AS v3
+  FROM counted
+  UNION ALL
+  SELECT conv_id, n - 1, {option(0)}, {option(1)}, {option(2)}, {option(3)}
+  FROM (SELECT b.*, j.i0, j.fault, CASE WHEN j.fault = 3 THEN 3 ELSE 0 END AS x
+    FROM best b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.n = b.n)
+), letters AS (
+  SELECT conv_id, v0.c AS cost, v0.a AS audit, unnest(string_split(v0.a, '')) AS letter, unnest(range(1, len(v0.a) + 1)) AS k
+  FROM best WHERE n = 0
+), placed AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER w AS n, count(*) FILTER (letter <> 'D') OVER w AS made
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), opened AS (
+  SELECT p.*, j.role, j.text,
+    max(CASE WHEN letter = 'K' AND made = 1 AND j.i0 = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS opens
+  FROM placed p LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.n = p.n AND letter <> 'I'
+), whole AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (made - opens) % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY k)) AS h
+  FROM opened WHERE letter <> 'D' GROUP BY conv_id
+)
+SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.v0.c, 0)::BIGINT AS cost,
+  coalesce(b.v0.a, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM g.conv_id AND b.n = 0
+LEFT JOIN whole w ON w.conv_id IS NOT DISTINCT FROM g.conv_id
+"""
+
+
+SQL["op13_conversations"] = _conversations_sql()
