@@ -10,29 +10,35 @@ aggregation.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Distinct words that a worker remembers, about 200 bytes each; then it starts afresh,
-#: so frequent words come back at once.
-KEPT_WORDS = 400_000
-#: Words looked up at once, ids decoded at once, tokens of one query.
-SLICE_WORDS, DECODED_IDS, QUERY_TOKENS = 1 << 18, 1 << 18, 1 << 19
-#: Ids that are decoded in one piece at most.
-PIECE_IDS = 64
+#: Distinct words, and words with what clings to them, that a worker remembers, about 200
+#: bytes each; then it starts afresh, so frequent words come back at once.
+KEPT_WORDS = 600_000
+#: Bytes of texts and words looked up at once, ids decoded at once, tokens of one query.
+SLICE_BYTES, SLICE_WORDS, DECODED_IDS, QUERY_TOKENS = 1 << 21, 1 << 18, 1 << 18, 1 << 19
+#: Ids of a group of the aggregation that decodes, as a power of two.
+DECODED_BITS = 16
 #: Longer words are encoded up to one rank after the other, each time cut where no token
 #: of a lower rank can come to lie across; pieces that are longer still contract all
 #: pairs of one rank at a time.
 LONG_BYTES = 64
 RANK_STEPS = (1 << 9, 1 << 10, 1 << 11, 1 << 12, 1 << 13, 1 << 14, 1 << 15, 1 << 31)
-#: Longer texts are cut into words one by one.
-LONG_TEXT = 1 << 22
+#: The words of longer texts are searched one after the other.
+LONG_TEXT = 1 << 20
+#: No word lies across a place before a space without other white space beside it.
+CHUNK = re.compile(r"(?<=\S)(?= \S)")
+_WHITE = r"[\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+BESIDE_SPACE = f"{_WHITE} | {_WHITE}"
 #: Bytes of results that are handed on at once.
 BATCH_BYTES = 1 << 24
 
@@ -60,9 +66,9 @@ WITH RECURSIVE state(word, pos, stop, token, following, step) AS (
   JOIN state q ON q.word = p.word AND q.pos = p.second
   WHERE s.pos <> p.second
 )
-SELECT word, list(token ORDER BY pos) AS ids
-FROM state JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) USING (word, step)
-GROUP BY word ORDER BY word
+SELECT word, token FROM state
+JOIN (SELECT word, max(step) AS step FROM state WHERE pos = 0 GROUP BY word) USING (word, step)
+ORDER BY word, pos
 """
 
 #: Each step takes all pairs of each word's least rank, every other one where they
@@ -90,7 +96,7 @@ WITH RECURSIVE state(word, pos, token) USING KEY (word, pos) AS (
     )
   ) WHERE gone OR chosen
 )
-SELECT word, list(token ORDER BY pos) AS ids FROM state WHERE token >= 0 GROUP BY word ORDER BY word
+SELECT word, token FROM state WHERE token >= 0 ORDER BY word, pos
 """
 
 DECODE = "SELECT part, list(bytes ORDER BY pos) AS bytes FROM sequence JOIN vocabulary USING (id) GROUP BY part ORDER BY part"
@@ -134,12 +140,9 @@ class Codec:
         self.sizes = np.zeros(max(self.bytes, default=0) + 1, np.int64)
         self.sizes[list(self.bytes)] = [len(token) for token in self.bytes.values()]
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.opens = np.zeros(len(self.sizes), bool)  # ids whose bytes begin with white space
-        self.opens[[rank for rank, token in self.bytes.items() if token[:1].isspace()]] = True
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
         self._create_tables()
         self._forget()
-        self.decoded: dict[bytes, bytes] = {}
 
     def _create_tables(self) -> None:
         """``merges``: every cut of a token into two tokens; ``alone`` if no token of a
@@ -166,11 +169,16 @@ class Codec:
 
     # -------------------------------------------------------------- words to ids
 
-    def words_of(self, text: str, newer: bool) -> Iterable[str]:
-        """The matches of the pattern; ``newer`` if the text may hold newer signs."""
+    def words_of(self, text: str, newer: bool) -> Sequence[str] | Iterator[str]:
+        """The matches of the pattern; one after the other from a long text.  Letters alone, or
+        with full stops and commas behind, need no search."""
+        stem = text.rstrip(".,")
+        if (stem[1:] if stem[:1] == " " else stem).isalpha():
+            return [stem, text[len(stem) :]] if len(stem) < len(text) else [text]
         if newer and not newer_signs().isdisjoint(text):
-            shown = "".join("" if sign in newer_signs() else sign for sign in text)
-            return (text[m.start() : m.end()] for m in self.pattern.finditer(shown))
+            shown = "".join("\ue000" if sign in newer_signs() else sign for sign in text)
+            found = (text[m.start() : m.end()] for m in self.pattern.finditer(shown))
+            return found if len(text) > LONG_TEXT else list(found)
         if len(text) > LONG_TEXT:
             return (m[0] for m in self.pattern.finditer(text))
         return self.pattern.findall(text)
@@ -201,11 +209,12 @@ class Codec:
         for how, group in ((LEFTMOST, short), (EVERY, long)):
             for some in _groups(group, QUERY_TOKENS):
                 tokens = np.fromiter(chain.from_iterable(some), np.int32)
-                found.update(zip(some, self._queried(tokens, list(map(len, some)), how, below)))
+                ids, ends = self._queried(tokens, list(map(len, some)), how, below)
+                found.update((piece, part.tolist()) for piece, part in zip(some, np.split(ids, ends[:-1])))
         return found
 
-    def _queried(self, tokens: np.ndarray, counts: list[int], how: str, below: int) -> list[list[int]]:
-        """The ids of words that have so many of the tokens each."""
+    def _queried(self, tokens: np.ndarray, counts: list[int], how: str, below: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that have so many of the tokens each, and where each word's end."""
         counts = np.array(counts, np.int64)
         first = np.cumsum(counts) - counts
         ends = np.cumsum(self.sizes[tokens])
@@ -217,82 +226,114 @@ class Codec:
             "pos": (ends - self.sizes[tokens] - before).astype(np.int32), "stop": (ends - before).astype(np.int32),
         }
         self.db.register("start", pa.table(columns))
-        found = self.db.execute(how, {"below": below}).fetchall()
+        found = self.db.sql(how, params={"below": below}).to_arrow_table()
         self.db.unregister("start")
-        return [ids for _, ids in found]
+        word, ids = (found.column(name).to_numpy() for name in ("word", "token"))
+        return ids, np.searchsorted(word, np.arange(len(counts)), "right")
 
-    def encode_words(self, words: Sequence[str]) -> list[Sequence[int]]:
+    def _learn_words(self, words: list[str]) -> None:
         """The ids of each word: its own id, or the merges of its bytes."""
         raw = [word.encode() for word in words]
-        merged: dict[bytes, Sequence[int]] = {w: (self.ranks[w],) for w in raw if w in self.ranks}
-        for some in _groups((w for w in raw if w not in merged and len(w) <= LONG_BYTES), QUERY_TOKENS):
-            tokens = self.single[np.frombuffer(b"".join(some), np.uint8)]
-            merged.update(zip(some, self._queried(tokens, list(map(len, some)), LEFTMOST, RANK_STEPS[-1])))
-        for word in raw:
-            if word not in merged:
-                tokens = tuple(self.single[np.frombuffer(word, np.uint8)].tolist())
+        own = [i for i, w in enumerate(raw) if w in self.ranks]
+        self._add([words[i] for i in own], np.array([self.ranks[raw[i]] for i in own], np.int32), np.arange(1, len(own) + 1))
+        for some in _groups(((i, w) for i, w in enumerate(raw) if w not in self.ranks and len(w) <= LONG_BYTES), QUERY_TOKENS, 1):
+            tokens = self.single[np.frombuffer(b"".join(w for _, w in some), np.uint8)]
+            found = self._queried(tokens, [len(w) for _, w in some], LEFTMOST, RANK_STEPS[-1])
+            self._add([words[i] for i, _ in some], *found)
+        for word, w in zip(words, raw):
+            if len(w) > LONG_BYTES and w not in self.ranks:
+                tokens = tuple(self.single[np.frombuffer(w, np.uint8)].tolist())
                 for below in RANK_STEPS:
                     cut = self._cut(tokens, below)
                     done = self._contracted({piece for piece in cut if len(piece) > 1}, below)
                     tokens = tuple(chain.from_iterable(done.get(piece, piece) for piece in cut))
-                merged[word] = tokens
-        return [merged[word] for word in raw]
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.places) + len(words) > KEPT_WORDS:
-            self._forget()
-        new = self.encode_words(words)
-        first, sizes = len(self.places), np.fromiter(map(len, new), np.int64, len(new))
-        ends = self.ends[first] + np.cumsum(sizes)
-        if first + len(new) >= len(self.ends):
-            self.ends = np.append(self.ends, np.zeros(max(len(self.ends), len(new)), np.int64))
-        if ends[-1] > len(self.ids):
-            self.ids = np.append(self.ids, np.zeros(max(len(self.ids), ends[-1]), np.int32))
-        self.ids[self.ends[first] : ends[-1]] = np.fromiter(chain.from_iterable(new), np.int32, sizes.sum())
-        self.ends[first + 1 : first + 1 + len(new)] = ends
-        self.places.update(zip(words, range(first, first + len(new))))
-
-    def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the words in a row, and where each word's ids end."""
-        new = list(set(words).difference(self.places))
-        if new and len(self.places) + len(new) > KEPT_WORDS:  # what is needed now is learned anew
-            new = list(set(words))
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+                self._add([word], np.array(tokens, np.int32), np.array([len(tokens)]))
+
+    def _add(self, keys: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        first = len(self.places)
+        start = self.ends[first]
+        while first + len(keys) >= len(self.ends):
+            self.ends = np.append(self.ends, np.zeros_like(self.ends))
+        while start + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        self.ids[start : start + len(ids)] = ids
+        self.ends[first + 1 : first + 1 + len(keys)] = start + ends
+        self.places.update(zip(keys, range(first, first + len(keys))))
+
+    def _learn(self, chunks: list[str], newer: bool) -> None:
+        words = [self.words_of(chunk, newer) for chunk in chunks]
+        self._learn_words(list({word for some in words for word in some}.difference(self.places)))
+        several = [i for i, some in enumerate(words) if len(some) != 1]
+        if several:
+            ids, ends = self._ids_at(np.array([self.places[word] for i in several for word in words[i]], np.int64))
+            stops = np.cumsum([len(words[i]) for i in several])
+            self._add([chunks[i] for i in several], ids, np.append([0], ends)[stops])
+
+    def _ids_at(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words or chunks in a row, and where each one's end."""
         starts = self.ends[place]
         sizes = self.ends[place + 1] - starts
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         return self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(total)], ends
 
-    def encode(self, texts: Iterable[str], newer: bool = True) -> Iterator[np.ndarray]:
-        """The ids of each text.  Words are looked up ``SLICE_WORDS`` at a time, over
-        the texts or within one."""
-        held: list[str] = []
-        counts: list[int] = []
-
-        def flush() -> Iterator[np.ndarray]:
-            ids, ends = self._looked_up(held)
-            stops = np.concatenate([[0], ends])[np.cumsum(counts, dtype=np.int64)] if counts else []
-            yield from np.split(ids, stops[:-1]) if counts else ()
-            held.clear()
-            counts.clear()
-
-        for text in texts:
-            words = self.words_of(text, newer)
-            if isinstance(words, list) and len(words) <= SLICE_WORDS:
-                if len(held) + len(words) > SLICE_WORDS:
-                    yield from flush()
-                held += words
-                counts.append(len(words))
-                continue
-            yield from flush()
-            rest, parts = iter(words), [np.zeros(0, np.int32)]
-            while some := list(islice(rest, SLICE_WORDS)):
-                parts.append(self._looked_up(some)[0])
-            yield np.concatenate(parts)
-        yield from flush()
+    def _looked_up(self, chunks: pa.Array, newer: bool) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.places) > KEPT_WORDS:
+            self._forget()
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [chunk for chunk in distinct if chunk not in self.places]
+        if new:
+            self._learn(new, newer)
+        place = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        return self._ids_at(place[coded.indices.to_numpy()])
+
+    def _encoded(self, texts: pa.Array, newer: bool) -> list[np.ndarray]:
+        """The ids of each text, chunks cut at spaces; one by one only where a space has
+        other white space beside it."""
+        odd = pc.match_substring_regex(texts, BESIDE_SPACE).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        counts = pc.list_value_length(lists).to_numpy()
+        first = np.zeros(int(counts.sum()), bool)
+        first[np.cumsum(counts) - counts] = True
+        chunks = pc.binary_join_element_wise(pc.if_else(pa.array(first), "", " "), lists.flatten(), "")
+        cut = [CHUNK.split(text) for text in texts.filter(pa.array(odd)).to_pylist()]
+        chunks = pa.concat_arrays([chunks, pa.array(list(chain.from_iterable(cut)), pa.string())])
+        ids, ends = self._looked_up(chunks, newer)
+        stops = np.append([0], ends)[np.cumsum([*counts, *map(len, cut)], dtype=np.int64)]
+        found: list[np.ndarray] = [ids] * len(texts)
+        for row, part in zip([*np.flatnonzero(~odd), *np.flatnonzero(odd)], np.split(ids, stops[:-1])):
+            found[row] = part
+        return found
+
+    def _encoded_long(self, text: str, newer: bool) -> np.ndarray:
+        parts, at = [], 0
+        while at < len(text):
+            cut = CHUNK.search(text, at + SLICE_BYTES)
+            block = text[at : cut.start() if cut else len(text)]
+            if len(block) <= 2 * SLICE_BYTES:
+                parts += self._encoded(pa.array([block]), newer)
+            else:  # hardly a place to cut
+                words = iter(self.words_of(block, newer))
+                while some := list(islice(words, SLICE_WORDS)):
+                    parts.append(self._looked_up(pa.array(some), newer)[0])
+            at += len(block)
+        return np.concatenate(parts)
+
+    def encode(self, texts: Sequence[str | None] | pa.Array, newer: bool = True) -> Iterator[np.ndarray]:
+        """The ids of each text, ``newer`` if one may hold newer signs.  Texts are looked up
+        ``SLICE_BYTES`` at a time, and longer ones a block at a time."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        start = 0
+        while start < len(texts):
+            ends = np.cumsum(sizes[start : start + SLICE_WORDS])
+            count = int(np.searchsorted(ends, SLICE_BYTES, "right"))
+            if count:
+                yield from self._encoded(texts.slice(start, count), newer)
+            else:
+                yield self._encoded_long(texts[start].as_py(), newer)
+            start += max(count, 1)
 
     # -------------------------------------------------------------- ids to bytes
 
@@ -313,44 +354,31 @@ class Codec:
         yield from self._joined(held)
 
     def _joined(self, sequences: list[np.ndarray]) -> list[bytes]:
-        """Sequences are cut before ids that begin with white space, and the distinct
-        pieces are decoded once."""
         sizes = [len(ids) for ids in sequences]
         if not sum(sizes):
             return [b""] * len(sizes)
-        ids = np.concatenate(sequences).astype("<i4")
-        ends = np.cumsum(sizes)
-        opens = self.opens[ids]
-        opens[[0, *ends[ends < len(ids)]]] = True
-        place = np.arange(len(ids))
-        opens |= (place - np.maximum.accumulate(np.where(opens, place, 0))) % PIECE_IDS == 0
-        cuts = np.flatnonzero(opens)
-        raw, at = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
-        pieces = [raw[i:j] for i, j in zip(at, at[1:])]
-        if len(self.decoded) > KEPT_WORDS:
-            self.decoded = {}
-        new = list(set(pieces).difference(self.decoded))
-        if new:
-            part = np.repeat(np.arange(len(new), dtype=np.int32), [len(piece) // 4 for piece in new])
-            rows = {"part": part, "pos": np.arange(len(part), dtype=np.int32), "id": np.frombuffer(b"".join(new), "<i4")}
-            self.db.register("sequence", pa.table(rows))
-            self.decoded.update((piece, b"".join(tokens)) for piece, (_, tokens) in zip(new, self.db.execute(DECODE).fetchall()))
-            self.db.unregister("sequence")
-        texts = list(map(self.decoded.__getitem__, pieces))
-        stops = [0, *np.searchsorted(cuts, ends).tolist()]
-        return [b"".join(texts[i:j]) for i, j in zip(stops, stops[1:])]
-
-
-def _groups(pieces: Iterable[Sequence[int]], size: int) -> Iterator[list[Sequence[int]]]:
-    """The pieces in groups of at most ``size`` tokens; a longer one is by itself."""
-    held: list[Sequence[int]] = []
+        ids = np.concatenate(sequences).astype(np.int32)
+        pos = np.arange(len(ids), dtype=np.int32)
+        self.db.register("sequence", pa.table({"part": pos >> DECODED_BITS, "pos": pos, "id": ids}))
+        tokens = self.db.sql(DECODE).to_arrow_table().column("bytes").combine_chunks().flatten()
+        self.db.unregister("sequence")
+        raw = pc.binary_join(pa.ListArray.from_arrays([0, len(tokens)], tokens), b"")[0].as_py()
+        ends = np.append([0], np.cumsum(self.sizes[ids]))[np.cumsum([0, *sizes])].tolist()
+        return [raw[i:j] for i, j in zip(ends, ends[1:])]
+
+
+def _groups(pieces: Iterable, size: int, at: int | None = None) -> Iterator[list]:
+    """The pieces in groups of at most ``size`` tokens; a longer one is by itself.  A
+    piece is the element ``at`` of what is given, if that is set."""
+    held: list = []
     total = 0
     for piece in pieces:
-        if held and total + len(piece) > size:
+        tokens = len(piece if at is None else piece[at])
+        if held and total + tokens > size:
             yield held
             held, total = [], 0
         held.append(piece)
-        total += len(piece)
+        total += tokens
     if held:
         yield held
 
@@ -401,7 +429,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, decoded: bool = False)
                 # signs from U+0540 on begin with these bytes; newer ones come after U+0557
                 raw = texts.buffers()[2]
                 newer = raw is not None and bool((np.frombuffer(raw, np.uint8) >= 0xD5).any())
-                found = codec.encode((text.as_py() or "" for text in texts), newer)
+                found = codec.encode(texts, newer)
                 for key, ids in zip(batch.column(0).to_pylist(), found):
                     yield key, ids
 

@@ -12,7 +12,8 @@ from claimweave.llm import byte_bpe, queries
 TEXTS = [
     (1, "Hello  world\n\n don't we'll 12345 ½ 漢字😀 naïve ÉTÉ"), (2, None), (3, ""), (4, " \n\t "), (5, "<|endoftext|> x"),
     (6, "a\x1cb x\x85y z​w"), (7, "a" * 30_000 + " " * 3_000 + "x"), (8, "日本語のテキスト" * 400), (9, "ab" * 3_000),
-    (1, "repeated id"), (None, "no id"), (1, "repeated id"), (10, "࢏ ౜x a\U000323b5b \U00011de0"), (11, "".join(f"tok{i}, " for i in range(9000))),
+    (1, "repeated id"), (None, "no id"), (1, "repeated id"), (12, "a  b \n c\n d\u00a0 e \u2003f  "), (13, " x. ,y., Z,. "), (14, "w" * 700 + " " + "é" * 900),
+    (10, "࢏ ౜x a\U000323b5b \U00011de0"), (11, "".join(f"tok{i}, " for i in range(9000))),
 ]
 
 
@@ -45,6 +46,8 @@ def test_ids_are_the_library_s(codec, library):
 def test_a_small_store_of_words_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "KEPT_WORDS", 50)
     monkeypatch.setattr(byte_bpe, "SLICE_WORDS", 40)
+    monkeypatch.setattr(byte_bpe, "SLICE_BYTES", 400)
+    monkeypatch.setattr(byte_bpe, "DECODED_BITS", 3)
     monkeypatch.setattr(byte_bpe, "DECODED_IDS", 30)
     monkeypatch.setattr(byte_bpe, "LONG_TEXT", 100)
     monkeypatch.setattr(byte_bpe, "QUERY_TOKENS", 64)
