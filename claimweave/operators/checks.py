@@ -41,6 +41,39 @@ def _named(df: DataFrame, name: str, label: str = "table_name") -> DataFrame:
     return df.select(F.lit(name).alias(label), "*")
 
 
+#: Measures that count distinct values, for which a table has to be read.
+DISTINCT = ("unique_icd_codes", "unique_ndcs", "years_loaded")
+
+
+class Seen(NamedTuple):
+    """A table and the values of aggregates over it, by their texts, that were taken
+    while it was written."""
+
+    table: DataFrame
+    values: Mapping[str, object]
+
+
+def measured(source: DataFrame | Seen, measures: Mapping[str, Column]) -> DataFrame:
+    """One row of aggregates.  Of a table that was seen being written only those are
+    computed whose values aren't known."""
+    df = source.table if isinstance(source, Seen) else source
+    whole = df.agg(*[measure.alias(name) for name, measure in measures.items()])
+    if not isinstance(source, Seen):
+        return whole
+    known = {n: source.values[str(m)] for n, m in measures.items() if str(m) in source.values and n not in DISTINCT}
+    rest = [measure.alias(name) for name, measure in measures.items() if name not in known]
+    row = df.agg(*rest) if rest else df.sparkSession.range(1)
+    return row.select(
+        *[
+            F.lit(known[field.name]).cast(field.dataType).alias(field.name) if field.name in known else field.name
+            for field in whole.schema
+        ]
+    )
+
+
+Source = DataFrame | Seen
+
+
 def verdict(ok: Column, good: str = "OK", bad: str = "MISMATCH") -> Column:
     """``good`` where the condition holds, ``bad`` where it does not or is unknown."""
     return F.when(ok, good).otherwise(bad)
@@ -50,20 +83,24 @@ def all_zero(columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(name) == 0 for name in columns])
 
 
-def check_row_counts(tables: Mapping[str, DataFrame], expected: Mapping[str, int]) -> DataFrame:
+def check_row_counts(tables: Mapping[str, Source], expected: Mapping[str, int]) -> DataFrame:
     """Rows of each table against the expected number."""
     return _stack(
-        _named(df.agg(rows().alias("actual_rows")), name).withColumn(
+        _named(measured(df, {"actual_rows": rows()}), name).withColumn(
             "expected_rows", F.lit(expected.get(name)).cast("bigint")
         )
         for name, df in tables.items()
     ).withColumn("result", verdict(F.col("actual_rows") == F.col("expected_rows")))
 
 
-def check_nulls(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
+def nulls(column: str) -> Column:
+    return F.count_if(F.col(column).isNull())
+
+
+def check_nulls(tables: Mapping[str, Source], column: str) -> DataFrame:
     """NULLs in a column that must not have any."""
     return _stack(
-        _named(df.agg(F.count_if(F.col(column).isNull()).alias("null_count")), name)
+        _named(measured(df, {"null_count": nulls(column)}), name)
         for name, df in tables.items()
     ).withColumn("result", verdict(F.col("null_count") == 0, bad="HAS NULLS"))
 
@@ -193,32 +230,34 @@ def check_ref(
 
 
 class Split(NamedTuple):
-    raw: DataFrame
-    header: DataFrame
-    line: DataFrame
+    raw: Source
+    header: Source
+    line: Source
 
 
 def check_split(
     splits: Mapping[str, Split],
-    expected_header: Mapping[str, int],
-    expected_line: Mapping[str, int],
+    expected_header: Mapping[str, int | DataFrame],
+    expected_line: Mapping[str, int | DataFrame],
 ) -> DataFrame:
-    """Header and line rows against the expected numbers, and the raw rows."""
+    """Header and line rows against the expected numbers, and the raw rows.  An expected
+    number may be a frame of one value, which is then computed with the rest."""
 
     def counted(name: str, split: Split) -> DataFrame:
-        return _named(
-            _side_by_side(
-                {
-                    "header_rows": split.header.agg(rows()),
-                    "line_rows": split.line.agg(rows()),
-                    "raw_rows": split.raw.agg(rows()),
-                }
-            ),
-            name,
-        ).select(
-            "*",
-            F.lit(expected_header.get(name)).cast("bigint").alias("expected_header"),
-            F.lit(expected_line.get(name)).cast("bigint").alias("expected_line"),
+        found = {
+            "header_rows": measured(split.header, {"value": rows()}),
+            "line_rows": measured(split.line, {"value": rows()}),
+            "raw_rows": measured(split.raw, {"value": rows()}),
+        }
+        wanted = {"expected_header": expected_header.get(name), "expected_line": expected_line.get(name)}
+        frames = {label: value for label, value in wanted.items() if isinstance(value, DataFrame)}
+        literals = {label: value for label, value in wanted.items() if label not in frames}
+        return _named(_side_by_side({**found, **frames}), name).select(
+            "table_name", *found,
+            *[
+                (F.lit(literals[label]) if label in literals else F.col(label)).cast("bigint").alias(label)
+                for label in wanted
+            ],
         )
 
     return _stack(counted(*item) for item in splits.items()).withColumn(
@@ -269,18 +308,14 @@ def check_totals(
     )
 
 
-def profile(
-    df: DataFrame, name: str, counts: Mapping[str, Column], measures: Mapping[str, Column]
-) -> DataFrame:
-    """All condition counts and measures of one table in a single pass."""
-    return _named(
-        df.agg(
-            rows().alias("total_rows"),
-            *[F.count_if(condition).alias(label) for label, condition in counts.items()],
-            *[measure.alias(label) for label, measure in measures.items()],
-        ),
-        name,
-    )
+def profile(source: Source, name: str, measures: Mapping[str, Column]) -> DataFrame:
+    """All measures of one table in a single pass."""
+    return _named(measured(source, measures), name)
+
+
+def observable(measures: Mapping[str, Column]) -> list[Column]:
+    """The measures that can be taken while a table is written: all but distinct counts."""
+    return [measure for name, measure in measures.items() if name not in DISTINCT]
 
 
 def out_of_range(column: str, first: str, last: str) -> Column:
@@ -288,7 +323,7 @@ def out_of_range(column: str, first: str, last: str) -> Column:
     return (day < F.lit(first).cast("date")) | (day > F.lit(last).cast("date"))
 
 
-def _claim_measures(wrong_code: Column, first: str, last: str, admission: bool) -> list[Column]:
+def _claim_measures(wrong_code: Column, first: str, last: str, admission: bool) -> dict[str, Column]:
     code = F.col("prncpal_dgns_cd")
     counts = {
         "null_from_dt": F.col("clm_from_dt").isNull(),
@@ -300,22 +335,28 @@ def _claim_measures(wrong_code: Column, first: str, last: str, admission: bool)
         "bad_icd_length": ~F.length(code).between(3, 7),
         "icd_has_dots": code.contains("."),
     }
-    return [
-        rows().alias("total_rows"),
-        *[F.count_if(condition).alias(label) for label, condition in counts.items()],
-        F.count_distinct(code).alias("unique_icd_codes"),
-        F.round(F.sum("clm_pmt_amt")).alias("total_pmt_amt"),
-    ]
+    return {
+        "total_rows": rows(),
+        **{label: F.count_if(condition) for label, condition in counts.items()},
+        "unique_icd_codes": F.count_distinct(code),
+        "total_pmt_amt": F.round(F.sum("clm_pmt_amt")),
+    }
+
+
+def claim_measures(
+    columns: Sequence[str], type_code: str, first: str = "2015-01-01", last: str = "2025-12-31"
+) -> dict[str, Column]:
+    """What :func:`claim_profile` measures of a header table with these columns."""
+    return _claim_measures(F.col("nch_clm_type_cd") != type_code, first, last, "clm_admsn_dt" in columns)
 
 
 def claim_profile(
-    header: DataFrame, name: str, type_code: str, first: str = "2015-01-01", last: str = "2025-12-31"
+    header: Source, name: str, type_code: str, first: str = "2015-01-01", last: str = "2025-12-31"
 ) -> DataFrame:
     """Dates, amounts, type code, diagnosis code shape and total of a header table;
     missing admission dates too, if the claim type has them."""
-    wrong = F.col("nch_clm_type_cd") != type_code
-    measures = _claim_measures(wrong, first, last, "clm_admsn_dt" in header.columns)
-    return _named(header.agg(*measures), name)
+    columns = (header.table if isinstance(header, Seen) else header).columns
+    return profile(header, name, claim_measures(columns, type_code, first, last))
 
 
 def claim_profiles(
@@ -331,7 +372,7 @@ def claim_profiles(
     return (
         headers.where(F.col("claim_type_key").isin(*type_codes))
         .groupBy(F.col("claim_type_key").alias("table_name"))
-        .agg(*_claim_measures(wrong, first, last, True))
+        .agg(*[m.alias(label) for label, m in _claim_measures(wrong, first, last, True).items()])
     )
 
 
@@ -343,48 +384,46 @@ def claim_verdicts(profiles: Sequence[DataFrame]) -> DataFrame:
     ).withColumn("result", verdict(all_zero(measures), bad="CHECK DETAILS"))
 
 
+def pde_measures(first: str = "2015-01-01", last: str = "2025-12-31") -> dict[str, Column]:
+    product = F.col("prod_srvc_id")
+    return {
+        "total_rows": rows(),
+        "null_srvc_dt": nulls("srvc_dt"),
+        "null_cost": nulls("tot_rx_cst_amt"),
+        "negative_cost": F.count_if(F.col("tot_rx_cst_amt") < 0),
+        "out_of_range_dt": F.count_if(out_of_range("srvc_dt", first, last)),
+        "bad_ndc_length": F.count_if(F.length(product) != 11),
+        "ndc_non_numeric": F.count_if(product.rlike("[^0-9]")),
+        "unique_ndcs": F.count_distinct(product),
+        "min_date": F.min("srvc_dt"),
+        "max_date": F.max("srvc_dt"),
+        "total_drug_cost": F.round(F.sum("tot_rx_cst_amt")),
+    }
+
+
 def pde_profile(
-    pde: DataFrame, name: str = "pde", first: str = "2015-01-01", last: str = "2025-12-31"
+    pde: Source, name: str = "pde", first: str = "2015-01-01", last: str = "2025-12-31"
 ) -> DataFrame:
     """Dates, cost and product code shape of the drug events."""
-    product = F.col("prod_srvc_id")
-    return profile(
-        pde,
-        name,
-        {
-            "null_srvc_dt": F.col("srvc_dt").isNull(),
-            "null_cost": F.col("tot_rx_cst_amt").isNull(),
-            "negative_cost": F.col("tot_rx_cst_amt") < 0,
-            "out_of_range_dt": out_of_range("srvc_dt", first, last),
-            "bad_ndc_length": F.length(product) != 11,
-            "ndc_non_numeric": product.rlike("[^0-9]"),
-        },
-        {
-            "unique_ndcs": F.count_distinct(product),
-            "min_date": F.min("srvc_dt"),
-            "max_date": F.max("srvc_dt"),
-            "total_drug_cost": F.round(F.sum("tot_rx_cst_amt")),
-        },
-    )
+    return profile(pde, name, pde_measures(first, last))
 
 
-def person_profile(snapshots: DataFrame, name: str = "beneficiary") -> DataFrame:
-    """Birth dates and years of the person snapshots."""
+def person_measures() -> dict[str, Column]:
     born = F.col("bene_birth_dt")
     year = "enrollmt_ref_yr"
-    return profile(
-        snapshots,
-        name,
-        {
-            "null_birth_dt": born.isNull(),
-            "suspicious_birth": born < F.lit("1900-01-01").cast("date"),
-        },
-        {
-            "years_loaded": F.count_distinct(year),
-            "min_year": F.min(year),
-            "max_year": F.max(year),
-        },
-    )
+    return {
+        "total_rows": rows(),
+        "null_birth_dt": F.count_if(born.isNull()),
+        "suspicious_birth": F.count_if(born < F.lit("1900-01-01").cast("date")),
+        "years_loaded": F.count_distinct(year),
+        "min_year": F.min(year),
+        "max_year": F.max(year),
+    }
+
+
+def person_profile(snapshots: Source, name: str = "beneficiary") -> DataFrame:
+    """Birth dates and years of the person snapshots."""
+    return profile(snapshots, name, person_measures())
 
 
 def check_orphans(pairs: Mapping[str, tuple[DataFrame, DataFrame]], key: str) -> DataFrame:

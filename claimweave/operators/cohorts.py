@@ -16,6 +16,16 @@ def denormalize(df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str])
     return lookup(df, dim, key, columns)
 
 
+def _copied(
+    df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], how: str, colocated: bool
+) -> DataFrame:
+    """``lookup``, or a plain join where both tables are in equal buckets by the key: then
+    nothing is shuffled, but a bucket with a hot key is one task's work."""
+    if not colocated:
+        return lookup(df, dim, key, columns, how)
+    return df.join(dim.select(key, *columns), key, how)
+
+
 def confirmed_per_person(conditions: DataFrame) -> DataFrame:
     """Confirmed conditions per person and the key of the earliest one."""
     return (
@@ -50,12 +60,13 @@ def condition_counts(
     )
 
 
-def tag_claims(claims: DataFrame, counts: DataFrame) -> DataFrame:
+def tag_claims(claims: DataFrame, counts: DataFrame, colocated: bool = False) -> DataFrame:
     """Claims with the condition bucket of their person.  Claims of a person the
-    counts do not know keep a NULL bucket but sort as zero."""
+    counts do not know keep a NULL bucket but sort as zero.  ``colocated`` says that both are
+    tables in equal buckets by person."""
     buckets = counts.withColumnRenamed("sort_order", "condition_sort_order")
-    return lookup(
-        claims, buckets, "bene_id", ["condition_group", "condition_sort_order"]
+    return _copied(
+        claims, buckets, "bene_id", ["condition_group", "condition_sort_order"], "left", colocated
     ).withColumn(
         "condition_sort_order",
         F.coalesce("condition_sort_order", F.lit(0).cast("smallint")),
@@ -87,16 +98,17 @@ def cohort_members(
     )
 
 
-def cohort_claims(claims: DataFrame, members: DataFrame) -> DataFrame:
+def cohort_claims(claims: DataFrame, members: DataFrame, colocated: bool = False) -> DataFrame:
     """Claims of cohort members, labelled with their group.  Membership is one
-    table, unique per person, so the claims are joined once."""
+    table, unique per person, so the claims are joined once.  ``colocated`` as in
+    :func:`tag_claims`."""
     wanted = claims.select(
         "claim_type_key",
         "clm_pmt_amt",
         "bene_id",
         F.col("from_date_key").alias("first_claim_date_key"),
     )
-    return lookup(wanted, members, "bene_id", ["patient_group"], "inner").select(
+    return _copied(wanted, members, "bene_id", ["patient_group"], "inner", colocated).select(
         "patient_group", "claim_type_key", "clm_pmt_amt", "bene_id", "first_claim_date_key"
     )
 

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the session's checkpoint folder and go on from there.
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write the rows to a new folder and go on from there: they are computed once, and
+    outlive any executor.
 
-    The folder is the one in ``spark.checkpoint.dir``, which all executors share, so
-    the rows outlive any executor.  A session that names none gets one in its
-    warehouse, which is shared too.
+    The folder is below ``spark.checkpoint.dir``, which all executors share.  A session that
+    names none gets one in its warehouse, which is shared too.  It goes when the
+    session's JVM ends.
     """
-    session = df.sparkSession
-    context = session.sparkContext
-    if context.getCheckpointDir() is None:
-        warehouse = session.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        context.setCheckpointDir(
-            session.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints"
-        )
-    return df.checkpoint()
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    session = f"{root.rstrip('/')}/lineage-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(session)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)  # takes note of folders that exist
+    folder = f"{session}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

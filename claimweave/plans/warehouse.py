@@ -7,15 +7,16 @@ one step.  Each load rebuilds all tables.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.casts import safe_to_numeric
 from claimweave.operators import checks, reports
-from claimweave.operators.checks import Split, Total
+from claimweave.operators.checks import Seen, Source, Split, Total
 from claimweave.operators.cohorts import (
     cohort_claims,
     cohort_members,
@@ -44,9 +45,13 @@ from claimweave.sources.files import (
     read_table,
     read_text_table,
     with_load_date,
+    write_bucketed,
+    write_part,
     write_table,
 )
-from claimweave.sources.layouts import BENEFICIARY, CLAIM_LAYOUTS, PDE, line_key, names
+from claimweave.sources.layouts import BENEFICIARY, CLAIM_LAYOUTS, PDE, Field, line_key, names
+
+TYPE_CODES = {claim_type: type_code for claim_type, *_, type_code in CLAIM_TYPES}
 
 # Published row counts of the public extracts.
 RAW_ROWS = {
@@ -83,6 +88,13 @@ SNAPSHOT_ROWS = {
 }
 
 
+#: The extract that a row of the person snapshots came with; not a column of its layout.
+LOAD_YEAR = "load_year"
+
+#: What was seen of tables while they were written, by layer and name.
+Written = Mapping[tuple[str, str], Mapping[str, object]]
+
+
 class Warehouse(NamedTuple):
     """Where the layers live, and how the extracts are found."""
 
@@ -96,36 +108,61 @@ class Warehouse(NamedTuple):
     rules: Rules = CCW_RULES
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.root}/{layer}", name)
+        return read_table(self.spark, f"{self.root}/{layer}", name).drop(LOAD_YEAR)
+
+    def write(
+        self, layer: str, name: str, df: DataFrame, measures: Sequence[Column] = (), partition_by: str | None = None
+    ) -> dict[str, object]:
+        return write_table(df, f"{self.root}/{layer}", name, measures=measures, partition_by=partition_by)
 
-    def write(self, layer: str, name: str, df: DataFrame) -> None:
-        write_table(df, f"{self.root}/{layer}", name)
+    def stamp(
+        self, layer: str, name: str, df: DataFrame, measures: Sequence[Column] = (), partition_by: str | None = None
+    ) -> dict[str, object]:
+        return self.write(layer, name, with_load_date(df), measures, partition_by)
 
-    def stamp(self, layer: str, name: str, df: DataFrame) -> None:
-        self.write(layer, name, with_load_date(df))
 
+def snapshot_extract(w: Warehouse, year: int) -> DataFrame:
+    return read_text_table(w.spark, f"{w.source}/beneficiary_{year}.csv", names(BENEFICIARY), check_header=True)
 
-def load_raw(w: Warehouse) -> None:
-    """Extracts as they are, every column text."""
+
+def load_raw(w: Warehouse) -> Written:
+    """Extracts as they are, every column text; returns what the checks want to know."""
+    seen = {}
     for name, layout in {**CLAIM_LAYOUTS, "pde": PDE}.items():
         extract = read_text_table(w.spark, f"{w.source}/{name}.csv", names(layout), check_header=True)
-        w.write("raw", name, extract)
+        seen["raw", name] = w.write("raw", name, extract, [checks.nulls("bene_id")])
     for year in w.years:
-        extract = read_text_table(
-            w.spark, f"{w.source}/beneficiary_{year}.csv", names(BENEFICIARY), check_header=True
-        )
-        w.write("raw", f"beneficiary_{year}", extract)
+        name = f"beneficiary_{year}"
+        seen["raw", name] = w.write("raw", name, snapshot_extract(w, year))
+    return seen
 
 
-def load_staging(w: Warehouse) -> None:
-    """Typed persons, claim headers and lines, and drug events."""
+def load_staging(w: Warehouse) -> Written:
+    """Typed persons, claim headers and lines, and drug events; returns what the checks
+    want to know.  The persons are stored by the year of their extract."""
+    seen = {}
     yearly = w.spark.read.parquet(*[f"{w.root}/raw/beneficiary_{year}" for year in w.years])
-    w.stamp("staging", "beneficiary", stage_snapshots(yearly))
+    came_with = F.regexp_extract("_metadata.file_path", r"/beneficiary_(\d+)/", 1)
+    snapshots = stage_snapshots(yearly.select("*", came_with.alias(LOAD_YEAR)), layout=(*BENEFICIARY, Field(LOAD_YEAR, "I")))
+    measures = checks.observable(checks.person_measures())
+    seen["staging", "beneficiary"] = w.stamp("staging", "beneficiary", snapshots, measures, LOAD_YEAR)
     for name, layout in CLAIM_LAYOUTS.items():
-        raw = w.read("raw", name)
-        w.stamp("staging", f"{name}_header", split_header(raw, layout))
-        w.stamp("staging", f"{name}_line", split_line(raw, layout))
-    w.stamp("staging", "pde", stage_pde(w.read("raw", "pde")))
+        raw, header = w.read("raw", name), f"{name}_header"
+        split = split_header(raw, layout)
+        measures = checks.observable(checks.claim_measures(split.columns, TYPE_CODES[name]))
+        seen["staging", header] = w.stamp("staging", header, split, measures)
+        seen["staging", f"{name}_line"] = w.stamp("staging", f"{name}_line", split_line(raw, layout))
+    measures = checks.observable(checks.pde_measures())
+    seen["staging", "pde"] = w.stamp("staging", "pde", stage_pde(w.read("raw", "pde")), measures)
+    return seen
+
+
+def load_year(w: Warehouse, year: int) -> None:
+    """Load the person snapshots of one year, again or for the first time; those of other
+    years stay as they are.  The mart isn't touched."""
+    w.write("raw", f"beneficiary_{year}", snapshot_extract(w, year))
+    staged = with_load_date(stage_snapshots(w.read("raw", f"beneficiary_{year}")))
+    write_part(staged.withColumn(LOAD_YEAR, F.lit(year)), f"{w.root}/staging", "beneficiary", LOAD_YEAR, year)
 
 
 def load_mart(w: Warehouse) -> None:
@@ -169,12 +206,42 @@ def load_codes(w: Warehouse, path: str, extra: DataFrame | None = None) -> None:
     w.stamp("mart", "dim_diagnosis", build_diagnosis_dim(read_code_list(w.spark, path), extra))
 
 
-def raw_checks(w: Warehouse) -> dict[str, DataFrame]:
+def _source(w: Warehouse, layer: str, name: str, seen: Written) -> Source:
+    table = w.read(layer, name)
+    return Seen(table, seen[layer, name]) if (layer, name) in seen else table
+
+
+def bucket_tables(w: Warehouse, buckets: int, database: str = "default") -> dict[str, DataFrame]:
+    """Copies of the tables that are joined by person or by claim, in so many buckets: the
+    claim fact, the condition counts and the cohort members by person, headers and lines by claim.
+
+    With these, tagging, cohorts and the check for orphans shuffle no claims
+    (``colocated=True``).  About 200 MB a bucket is a good size, and a power of two lets tables
+    of different sizes share buckets.  Buckets can't split a person who owns a large share
+    of the claims; the load itself joins by ``lookup``, which can."""
+    members = cohort_members(w.read("mart", "bene_chronic_conditions"))
+    tables = {
+        "claims_by_person": (w.read("mart", "fact_claim_header"), "bene_id"),
+        "counts_by_person": (w.read("mart", "bene_condition_count"), "bene_id"),
+        "cohorts_by_person": (members, "bene_id"),
+    }
+    for name in CLAIM_LAYOUTS:
+        for part in ("header", "line"):
+            tables[f"{name}_{part}_by_claim"] = (w.read("staging", f"{name}_{part}"), "clm_id")
+    return {
+        name: write_bucketed(df, f"{database}.{name}", f"{w.root}/buckets/{name}", key, buckets)
+        for name, (df, key) in tables.items()
+    }
+
+
+def raw_checks(w: Warehouse, seen: Written = MappingProxyType({})) -> dict[str, DataFrame]:
+    """The checks of the raw layer.  Those that only count rows read nothing of tables that
+    were ``seen`` being written."""
     claims = {name: w.read("raw", name) for name in CLAIM_LAYOUTS}
     pde = w.read("raw", "pde")
     latest = w.read("raw", f"beneficiary_{w.years[-1]}")
-    yearly = {str(year): w.read("raw", f"beneficiary_{year}") for year in w.years}
-    files = {**claims, "pde": pde}
+    yearly = {str(year): _source(w, "raw", f"beneficiary_{year}", seen) for year in w.years}
+    files = {name: _source(w, "raw", name, seen) for name in (*CLAIM_LAYOUTS, "pde")}
     linked = {"inpatient": claims["inpatient"], "pde": pde}
     return {
         "row_counts": checks.check_row_counts(files, RAW_ROWS),
@@ -190,12 +257,13 @@ def raw_checks(w: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def staging_checks(w: Warehouse) -> dict[str, DataFrame]:
+def staging_checks(w: Warehouse, seen: Written = MappingProxyType({})) -> dict[str, DataFrame]:
+    """The checks of the staging layer.  Of tables that were ``seen`` being written, row counts
+    and the split read nothing, and profiles only the columns of distinct counts."""
     raw = {name: w.read("raw", name) for name in CLAIM_LAYOUTS}
     headers = {name: w.read("staging", f"{name}_header") for name in CLAIM_LAYOUTS}
     lines = {name: w.read("staging", f"{name}_line") for name in CLAIM_LAYOUTS}
     snapshots, pde = w.read("staging", "beneficiary"), w.read("staging", "pde")
-    code = {claim_type: type_code for claim_type, *_, type_code in CLAIM_TYPES}
 
     def first_lines(name: str) -> Total:
         on_first = F.col(line_key(CLAIM_LAYOUTS[name])) == "1"
@@ -204,12 +272,8 @@ def staging_checks(w: Warehouse) -> dict[str, DataFrame]:
     def header_total(name: str) -> Total:
         return Total(headers[name], F.col("clm_pmt_amt"))
 
-    staged = {
-        "beneficiary": snapshots,
-        **{f"{name}_header": df for name, df in headers.items()},
-        **{f"{name}_line": df for name, df in lines.items()},
-        "pde": pde,
-    }
+    parts = [f"{name}_{part}" for part in ("header", "line") for name in CLAIM_LAYOUTS]
+    staged = {name: _source(w, "staging", name, seen) for name in ("beneficiary", *parts, "pde")}
     expected = {
         "beneficiary": sum(SNAPSHOT_ROWS.values()),
         **{f"{name}_header": rows for name, rows in HEADER_ROWS.items()},
@@ -217,23 +281,26 @@ def staging_checks(w: Warehouse) -> dict[str, DataFrame]:
         "pde": RAW_ROWS["pde"],
     }
     profiles = {
-        name: checks.claim_profile(headers[name], name, code[name]) for name in CLAIM_LAYOUTS
+        name: checks.claim_profile(staged[f"{name}_header"], name, TYPE_CODES[name]) for name in CLAIM_LAYOUTS
     }
     return {
         "row_counts": checks.check_row_counts(staged, expected),
         "snapshots": checks.snapshot_summary(snapshots),
         "split": checks.check_split(
-            {name: Split(raw[name], headers[name], lines[name]) for name in CLAIM_LAYOUTS},
+            {
+                name: Split(_source(w, "raw", name, seen), staged[f"{name}_header"], staged[f"{name}_line"])
+                for name in CLAIM_LAYOUTS
+            },
             HEADER_ROWS,
             RAW_ROWS,
         ),
         "fan_trap": checks.check_fan_trap(
             header_total("inpatient"), first_lines("inpatient"), "inpatient"
         ),
-        "person_profile": checks.person_profile(snapshots),
+        "person_profile": checks.person_profile(staged["beneficiary"]),
         **{f"{name}_profile": profiles[name] for name in ("inpatient", "outpatient", "carrier")},
         "claim_verdicts": checks.claim_verdicts(list(profiles.values())),
-        "pde_profile": checks.pde_profile(pde),
+        "pde_profile": checks.pde_profile(staged["pde"]),
         "orphans": checks.check_orphans(
             {name: (lines[name], headers[name]) for name in CLAIM_LAYOUTS}, "clm_id"
         ),
@@ -293,11 +360,11 @@ def run_pipeline(
     w: Warehouse, code_list: str | None = None, extra_codes: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Load all layers, with the code dimension if a code list is given, and return the
-    checks of every layer by ``layer.name``; they run when they are looked at."""
-    load_raw(w)
-    load_staging(w)
+    checks of every layer by ``layer.name``; they run when they are looked at, and read
+    nothing again that was counted while it was written."""
+    seen = {**load_raw(w), **load_staging(w)}
     load_mart(w)
-    found = {"raw": raw_checks(w), "staging": staging_checks(w), "mart": mart_checks(w)}
+    found = {"raw": raw_checks(w, seen), "staging": staging_checks(w, seen), "mart": mart_checks(w)}
     if code_list:
         load_codes(w, code_list, extra_codes)
         found["codes"] = code_checks(w)
