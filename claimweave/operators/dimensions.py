@@ -118,6 +118,20 @@ def build_beneficiary_dim(snapshots: DataFrame) -> DataFrame:
     )
 
 
+#: From the roots down, so each node is met once.  A cycle hangs on no root, and a node
+#: that its own path holds isn't met again.
+DESCEND = """
+WITH RECURSIVE chain(node, top, path) MAX RECURSION LEVEL 1000 AS (
+  SELECT code, code, array(code) FROM {inner} WHERE parent IS NULL
+  UNION ALL
+  SELECT i.code, c.top, array_append(c.path, i.code)
+  FROM chain c JOIN {inner} i ON i.parent = c.node AND NOT array_contains(c.path, i.code)
+)
+SELECT i.code AS node, c.top, i.parent AS second, i.description AS node_desc
+FROM {inner} i LEFT JOIN chain c ON c.node = i.code
+"""
+
+
 def flatten_hierarchy(codes: DataFrame) -> DataFrame:
     """Ancestors of every code of a ``(code, parent, description)`` tree.
 
@@ -126,46 +140,31 @@ def flatten_hierarchy(codes: DataFrame) -> DataFrame:
     and a cycle raise ``ValueError``; a parent that isn't listed is an ancestor
     without a description.
 
-    Only inner nodes are walked up; leaves, which are most of a tree, look up their
-    parent's finished chain once.  Each round doubles how far up every pointer
-    reaches, so the rounds grow with the logarithm of the depth, and ends when no
-    pointer moves.  Every join has a side that is unique on the join key and freshly
-    shuffled, which lets Spark split a hot parent.
+    Only inner nodes are descended to, by one recursive query; leaves, which are most of
+    a tree, look up their parent's finished chain once.  Inner nodes and their chains are
+    written once each.  More than a million inner nodes need
+    ``spark.sql.cteRecursionRowLimit`` raised, as ``build_session`` does.  Every join has a
+    side that is unique on the join key and freshly shuffled, which lets Spark split a hot
+    parent.
     """
     repeated = codes.groupBy("code").count().where("count > 1").select("code").first()
     if repeated:
         raise ValueError(f"code {repeated['code']} is listed more than once")
     parents = codes.where("parent IS NOT NULL").selectExpr("parent AS code").distinct()
-    inner = cut_lineage(parents.join(codes, "code", "left").select("code", "parent", "description"))
-    pointers = inner.selectExpr("code AS node", "coalesce(parent, code) AS up")
-    moved = None
-    for _ in range(inner.count().bit_length() + 1):
-        further = cut_lineage(
-            pointers.join(pointers.toDF("up", "next"), "up").selectExpr(
-                "node", "next AS up", "next <> up AS moved"
-            )
-        )
-        pointers = further.select("node", "up")
-        moved = further.where("moved").first()
-        if moved is None:
-            break
-    # a pointer into a cycle moves for ever, or ends at a node that has a parent
-    endless = moved or pointers.where("node = up").join(
-        inner.where("parent IS NOT NULL"), F.expr("node = code"), "left_semi"
-    ).first()
+    inner = cut_lineage(parents.join(codes, "code", "left").select("code", "parent", "description"), "inner-codes")
+    chain = cut_lineage(codes.sparkSession.sql(DESCEND, inner=inner), "code-chains")
+    endless = chain.where("top IS NULL").first()
     if endless:
         raise ValueError(f"the hierarchy above {endless['node']} never ends")
 
-    text = inner.select("code", "description")
-    chain = (
-        pointers.toDF("node", "top")
-        .join(inner.selectExpr("code AS node", "parent AS second", "description AS node_desc"), "node")
-        .join(text.toDF("top", "top_desc"), "top")
+    text = chain.select("node", "node_desc")
+    chains = (
+        chain.join(text.toDF("top", "top_desc"), "top")
         .join(text.toDF("second", "second_desc"), "second", "left")
     )
     return (
-        codes.join(chain, F.expr("parent = node"), "left")
-        .join(parents.selectExpr("code", "true AS is_inner"), "code", "left")
+        codes.join(chains, F.expr("parent = node"), "left")
+        .join(chain.selectExpr("node AS code", "true AS is_inner"), "code", "left")
         .selectExpr(
             "code AS icd_dgns_cd",
             "description",

@@ -18,7 +18,7 @@ from claimweave.operators.cohorts import condition_counts
 from claimweave.operators.dimensions import build_beneficiary_dim
 from claimweave.operators.facts import shape_headers, unpivot_codes
 from claimweave.operators.staging import split_header
-from claimweave.sources.layouts import Layout, cols
+from claimweave.sources.layouts import INPATIENT, Layout, cols
 
 CLAIM_LAYOUT: Layout = cols("""
     bene_id clm_id nch_clm_type_cd claim_type_key clm_from_dt:D clm_thru_dt:D clm_pmt_amt:N
@@ -164,6 +164,22 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.join(header, "o_orderkey").drop("o_orderkey")
 
 
+def wide_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claim extract in the full width of an inpatient one, 194 columns of text.  Columns
+    that orders and lines have nothing for are filled from the claim id, its first day and its
+    amount, according to their type."""
+    raw = raw_claims(spark, sf_dir)
+    filler = {"D": "clm_from_dt", "N": "clm_pmt_amt"}
+    return raw.selectExpr(
+        *[
+            field.name
+            if field.name in raw.columns
+            else f"{filler.get(field.kind, f"'{i}'" if field.kind in 'IS' else 'concat(%d, clm_id)' % i)} AS {field.name}"
+            for i, field in enumerate(INPATIENT)
+        ]
+    )
+
+
 def staged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_header(raw_claims(spark, sf_dir), CLAIM_LAYOUT)
 

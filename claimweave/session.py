@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even where an extra shuffle follows from it
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a hierarchy of any size may be descended
+    "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
