@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +71,29 @@ def unit(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` on the batches of a task; behind it, memory that Arrow and the C library
+    keep for later goes back to the system, as a worker serves other steps too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows and about ``size`` bytes."""
+    for batch in batches:
+        step = max(1, min(rows, batch.num_rows * size // max(batch.nbytes, 1)))
+        for first in range(0, batch.num_rows, step):
+            yield batch.slice(first, step)
+
+
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         yield from zip(*(column.to_pylist() for column in batch.columns))

@@ -19,15 +19,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweave.llm.common import broadcast_if_small, written
+from claimweave.llm.common import broadcast_if_small, tidy, written
+from claimweave.llm.words import text_pieces, word_spans
 
 MAX_LENGTH = 2048
 END_ID = 1
-#: Distinct words whose ids a worker remembers, about 250 bytes each.  The first ones are
-#: the frequent ones; the others are encoded anew.
-CACHED_WORDS = 400_000
-#: Words that are looked up at once.
-SLICE_WORDS = 1 << 18
+#: Distinct words that a worker remembers; then it starts afresh.
+KNOWN_WORDS = 1_000_000
+#: Bytes of text that are looked up at once.
+SLICE_BYTES = 1 << 20
 
 #: Byte-level BPE writes a byte as the Latin-1 character if that is visible, else as the
 #: next free character from U+0100.
@@ -46,85 +46,105 @@ class WordTokenizer:
     BPE: each distinct word is encoded once and then looked up.
 
     Words are split at ASCII white space, which is white space for the tokenizer too,
-    so the ids of a text are the ids of its words in a row.
+    so the ids of a text are the ids of its words in a row; a full stop or comma behind an
+    ASCII letter or digit is a word of its own, as it is for the tokenizer.  Words are
+    known by two 64-bit hashes of their bytes, A-Z as a-z, in arrays sorted by the first:
+    about 40 bytes a word with its ids.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.places: dict[bytes, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = np.zeros((2, 0), np.uint64)  # both hashes of the words, by the first
+        self.place = np.zeros(0, np.int64)  # of these words among the learned ones
         self.ids = np.zeros(1 << 20, np.uint32)
-        self.ends = np.zeros(1 << 18, np.int64)  # of the word in place p: ends[p] to ends[p + 1]
+        self.ends = np.zeros(1, np.int64)  # of the word learned as number p: ends[p] to ends[p + 1]
 
     def _encode(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word.  A word of small Latin letters, perhaps with a full stop or
-        comma behind, skips normalisation and pre-tokenisation, which don't change it:
-        the letters are one pre-token, the marks the next."""
-        stems = [word.rstrip(b".,") for word in words]
-        plain: dict[bytes, list[int]] = {}
-        for stem in set(stems):
-            letters = stem.decode()
+        """Ids of each word.  Small Latin letters alone skip normalisation and
+        pre-tokenisation, which don't change them."""
+        found: dict[bytes, list[int]] = {}
+        for word in words:
+            letters = word.decode()
             if letters.isalpha() and letters.islower() and max(letters) < "\u0250":
-                shown = letters if letters.isascii() else stem.decode("latin-1").translate(BYTE_SIGNS)
-                plain[stem] = [token.id for token in self.tokenizer.model.tokenize(shown)]
-        rest = [w for w, stem in zip(words, stems) if stem not in plain]
-        marks = list({w[len(stem) :] for w, stem in zip(words, stems) if stem in plain})
-        texts = [w.decode() for w in rest + marks]
-        encoded = [r.ids for r in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        whole = dict(zip(rest, encoded))
-        tails = dict(zip(marks, encoded[len(rest) :]))
-        return [plain[s] + tails[w[len(s) :]] if s in plain else whole[w] for w, s in zip(words, stems)]
-
-    def _learn(self, words: list[bytes]) -> None:
+                shown = letters if letters.isascii() else word.decode("latin-1").translate(BYTE_SIGNS)
+                found[word] = [token.id for token in self.tokenizer.model.tokenize(shown)]
+        rest = [word for word in words if word not in found]
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        found.update((word, r.ids) for word, r in zip(rest, encoded))
+        return [found[word] for word in words]
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        """Words that aren't known yet, with their hashes, sorted by the first."""
         new = self._encode(words)
-        first, lengths = len(self.places), np.fromiter(map(len, new), np.int64, len(new))
-        ends = self.ends[first] + np.cumsum(lengths)
-        while first + len(new) >= len(self.ends):
-            self.ends = np.append(self.ends, np.zeros_like(self.ends))
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        ends = self.ends[-1] + np.cumsum(lengths)
         while ends[-1] > len(self.ids):
             self.ids = np.append(self.ids, np.zeros_like(self.ids))
-        self.ids[self.ends[first] : ends[-1]] = np.fromiter(chain.from_iterable(new), np.uint32, lengths.sum())
-        self.ends[first + 1 : first + 1 + len(new)] = ends
-        self.places.update(zip(words, range(first, first + len(new))))
+        self.ids[self.ends[-1] : ends[-1]] = np.fromiter(chain.from_iterable(new), np.uint32, lengths.sum())
+        at = np.searchsorted(self.known[0], hashes[0])
+        self.known = np.insert(self.known, at, hashes, axis=1)
+        self.place = np.insert(self.place, at, np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(new)))
+        self.ends = np.append(self.ends, ends)
 
     def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text; texts are looked up together until they have
-        ``SLICE_WORDS`` words."""
+        ``SLICE_BYTES``, and a longer one in pieces of this size."""
         held: list[bytes] = []
-        counts: list[int] = []
+        size = 0
         for text in texts:
-            # ids don't depend on the case of ASCII letters, but special tokens' names do
             raw = text.encode()
-            words = (raw if b"<|" in raw else raw.lower()).split()
-            held += words
-            counts.append(len(words))
-            if len(held) >= SLICE_WORDS:
-                yield from self._split(held, counts)
-                held, counts = [], []
-        yield from self._split(held, counts)
-
-    def _split(self, words: list[bytes], counts: list[int]) -> list[np.ndarray]:
-        sliced = [self._slice(words[i : i + SLICE_WORDS]) for i in range(0, len(words) or 1, SLICE_WORDS)]
-        ids = np.concatenate([ids for ids, _ in sliced])
-        ends = np.concatenate([[0], np.cumsum(np.concatenate([lengths for _, lengths in sliced]))])
-        return np.split(ids, ends[np.cumsum(counts[:-1], dtype=np.int64)]) if counts else []
-
-    def _slice(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and how many each has."""
-        full = len(self.places) >= CACHED_WORDS
-        new = list(set(words).difference(self.places))
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        starts = self.ends[place]
-        lengths = self.ends[place + 1] - starts
+            # ids don't depend on the case of ASCII letters, but special tokens' names do
+            if b"<|" in raw:
+                yield from self._split(held)
+                held, size = [], 0
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            elif len(raw) > SLICE_BYTES:
+                yield from self._split(held)
+                held, size = [], 0
+                yield np.concatenate([self._ids(piece)[0] for piece in text_pieces(raw)])
+            else:
+                held.append(raw)
+                size += len(raw)
+                if size > SLICE_BYTES:
+                    yield from self._split(held)
+                    held, size = [], 0
+        yield from self._split(held)
+
+    def _split(self, held: list[bytes]) -> list[np.ndarray]:
+        if not held:
+            return []
+        ids, starts, ends = self._ids(b"\n".join(held))
+        words = np.searchsorted(starts, np.cumsum([len(raw) + 1 for raw in held])[:-1])
+        return np.split(ids, np.append([0], ends)[words])
+
+    def _ids(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all words in a row, where the words start, and where their ids end."""
+        hashes, starts, stops = word_spans(raw)
+        if len(self.place) > KNOWN_WORDS:
+            self._forget()
+        first, where, which = np.unique(hashes[0], return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known[0], first)
+        near = np.minimum(at, max(len(self.place) - 1, 0))
+        hit = self.known[0][near] == first if len(self.place) else np.zeros(len(first), bool)
+        if not hit.all():
+            new = where[~hit]
+            words = [raw[i:j].lower() for i, j in zip(starts[new].tolist(), stops[new].tolist())]
+            self._learn(words, hashes[:, new])
+            near = np.searchsorted(self.known[0], first)
+        if (self.known[1][near][which] != hashes[1]).any():  # two words with one first hash
+            found = self._encode([raw[i:j].lower() for i, j in zip(starts.tolist(), stops.tolist())])
+            return np.fromiter(chain.from_iterable(found), np.uint32), starts, np.cumsum(list(map(len, found)))
+        place = self.place[near][which] if len(first) else np.zeros(0, np.int64)
+        begin = self.ends[place]
+        lengths = self.ends[place + 1] - begin
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        if full:  # the next words take the same places
-            for word in new:
-                del self.places[word]
-        return self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(total)], lengths
+        return self.ids[np.repeat(begin - ends + lengths, lengths) + np.arange(total)], starts, ends
 
 
 @cache
@@ -183,7 +203,7 @@ def pieces(docs: DataFrame, tokenizer: str, longest: int, with_ids: bool) -> Dat
 
     if with_ids:
         schema += ", ids array<int>"
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut), schema)
 
 
 def pack(

@@ -27,6 +27,20 @@ def test_word_by_word_equals_whole_text():
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_few_known_words_and_equal_hashes_change_nothing(monkeypatch):
+    wanted = packing.WordTokenizer(packing.default_tokenizer()).tokenizer
+    texts = [f"a{i % 7}. Word{i}, x.y. ...z. ,. 3.14, (b). 'c'. d!." for i in range(300)] + ["w" * 50 + " é. É, " * 200]
+    for known, hashed in ((5, None), (3_000_000, 4)):
+        encode = packing.WordTokenizer(packing.default_tokenizer())
+        monkeypatch.setattr(packing, "KNOWN_WORDS", known)
+        monkeypatch.setattr(packing, "SLICE_BYTES", 500)
+        if hashed:
+            spans = packing.word_spans
+            monkeypatch.setattr(packing, "word_spans", lambda raw: (spans(raw)[0] % np.array([[hashed], [1 << 63]], np.uint64), *spans(raw)[1:]))
+        for text, ids in zip(texts, encode(texts), strict=True):
+            assert ids.tolist() == wanted.encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_round_trip(spark, documents, as_table):
     df = documents(*TEXTS)
     made = packing.pack(df, with_ids=True).collect()
