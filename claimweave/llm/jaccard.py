@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimweave.llm.common import broadcast_if_small, written
+from claimweave.llm.common import broadcast_if_small, slices, tidy, written
 from claimweave.llm.shingles import shingle_sets
 
 #: Shingles counted in more documents than this come last in the order.
@@ -77,7 +77,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
                     held, size, seen = [], 0, set()
         yield report()
 
-    reported = docs.select("text").mapInArrow(count, "shingle long, n long")
+    reported = docs.select("text").mapInArrow(tidy(count), "shingle long, n long")
     summed = reported.groupBy("shingle").agg(F.sum("n").alias("n"))
     counts = written(summed.where(F.col("n") > COMMON_FROM), "common-shingles")
     sizes = counts.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect()
@@ -106,33 +106,31 @@ def signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = shared.value
-        for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
-                sets = list(shingle_sets(part.column(1).to_pylist()))
-                flat = np.concatenate(sets)
-                at = np.searchsorted(last, flat)
-                late = np.zeros(len(flat), bool)
-                if len(last):
-                    late = last[np.minimum(at, len(last) - 1)] == flat
-                prefixes, n = [], 0
-                for s in sets:
-                    mask = late[n : n + len(s)]
-                    n += len(s)
-                    prefixes.append(np.concatenate([s[~mask], s[mask]])[: len(s) // 4 + 1])
-                ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array([bitmap(s) for s in sets], pa.binary()),
-                        pa.ListArray.from_arrays(ends, np.concatenate(prefixes).view(np.int64)),
-                    ],
-                    ["doc_id", "n", "key", "bitmap", "prefix"],
-                )
+        for part in slices(batches):
+            sets = list(shingle_sets(part.column(1).to_pylist()))
+            flat = np.concatenate(sets)
+            at = np.searchsorted(last, flat)
+            late = np.zeros(len(flat), bool)
+            if len(last):
+                late = last[np.minimum(at, len(last) - 1)] == flat
+            prefixes, n = [], 0
+            for s in sets:
+                mask = late[n : n + len(s)]
+                n += len(s)
+                prefixes.append(np.concatenate([s[~mask], s[mask]])[: len(s) // 4 + 1])
+            ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    pa.array([bitmap(s) for s in sets], pa.binary()),
+                    pa.ListArray.from_arrays(ends, np.concatenate(prefixes).view(np.int64)),
+                ],
+                ["doc_id", "n", "key", "bitmap", "prefix"],
+            )
 
     return docs.select("doc_id", "text").mapInArrow(
-        sign, "doc_id long, n long, key binary, bitmap binary, prefix array<long>"
+        tidy(sign), "doc_id long, n long, key binary, bitmap binary, prefix array<long>"
     )
 
 
@@ -140,7 +138,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
     """id and the bytes of the shingle set, for the classes in ``ids``, from the texts."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
+        for batch in slices(batches):
             sets = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist())]
             keys = [xxhash.xxh3_128_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -150,7 +148,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
     wanted = classes.select("id", "doc_id", "key").join(ids.distinct(), "id", "left_semi")
     wanted = broadcast_if_small(written(wanted, "wanted-sets"))
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted.select(F.col("doc_id").alias("id")), "id", "left_semi")
-    built = texts.mapInArrow(build, "id long, key binary, shingles binary").withColumnRenamed("id", "doc_id")
+    built = texts.mapInArrow(tidy(build), "id long, key binary, shingles binary").withColumnRenamed("id", "doc_id")
     # rows that repeat a doc_id with another text are of another class
     own = built.join(wanted, ["doc_id", "key"])
     return written(own.select("id", "shingles").dropDuplicates(["id"]), "sets")
@@ -303,7 +301,7 @@ def by_group(
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     fields = ", ".join(f"{name} long" for name in names)
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, fields)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), fields)
 
 
 def one_of_each(rows: DataFrame, keys: list[str], same: list[str]) -> DataFrame:
@@ -340,7 +338,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     with_maps = pairs.join(maps.toDF("a", "a_map"), "a").join(maps.toDF("b", "b_map"), "b")
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sides = zip(*(batch.column(c).to_pylist() for c in ("a_map", "b_map", "a_n", "b_n")))
             kept = [
                 close_bitmaps([x, y], np.array([p, q]), np.array([0, 1])).all() for x, y, p, q in sides
@@ -348,18 +346,18 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 kept.append(bool(links(overlaps(p, q, np.zeros(1, np.int64)), len(p), len(q))[0]))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    likely = written(with_maps.mapInArrow(screen, "a long, b long"), "likely-pairs")
+    likely = written(with_maps.mapInArrow(tidy(screen), "a long, b long"), "likely-pairs")
     ids = likely.select(F.explode(F.array("a", "b")).alias("id"))
     sets = sets_of(docs, classes, ids)
     full = likely.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
-    return written(full.select("a", "b", "a_set", "b_set").mapInArrow(check, "a long, b long"), "links")
+    return written(full.select("a", "b", "a_set", "b_set").mapInArrow(tidy(check), "a long, b long"), "links")
 
 
 def region_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, labels: DataFrame) -> DataFrame:
@@ -522,9 +520,9 @@ def with_key(docs: DataFrame) -> DataFrame:
     """``docs`` in a struct ``kept``, and the ``key`` of each text's set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
+        for batch in slices(batches):
             keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in shingle_sets(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["kept", "key"])
 
     rows = docs.select(F.struct(*docs.columns).alias("kept"), "text")
-    return rows.mapInArrow(sign, T.StructType([rows.schema["kept"]]).add("key", "binary"))
+    return rows.mapInArrow(tidy(sign), T.StructType([rows.schema["kept"]]).add("key", "binary"))

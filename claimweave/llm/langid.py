@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimweave.llm.common import unit
+from claimweave.llm.common import tidy, unit
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -103,7 +103,7 @@ def train(labelled: DataFrame) -> Model:
             )
 
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    counted = rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidy(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
     documents = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not documents:
@@ -172,7 +172,7 @@ def fit_bounds(docs: DataFrame, model: Model) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i)), pa.array(own), pa.array(fit)], ["length", "lang", "fit"])
 
     # at most a few thousand rows for each language
-    found = drawn.select("lang", "text").mapInArrow(measure, "length long, lang long, fit double").toArrow()
+    found = drawn.select("lang", "text").mapInArrow(tidy(measure), "length long, lang long, fit double").toArrow()
     length, lang, fit = (found[c].to_numpy() for c in ("length", "lang", "fit"))
     bounds = np.full((len(FIT_LENGTHS), len(model.languages)), -np.inf)
     for i in range(len(FIT_LENGTHS)):
@@ -251,7 +251,7 @@ def identify(docs: DataFrame, model: Model | None, bounds: np.ndarray | None = N
             )
 
     fields = T.StructType(list(docs.schema)).add("lang_pred", "string").add("lang_score", "double")
-    return kept.mapInArrow(predict, fields)
+    return kept.mapInArrow(tidy(predict), fields)
 
 
 def fitted(docs: DataFrame) -> Model | None:

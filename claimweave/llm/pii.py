@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimweave.llm.common import hash32, unit
+from claimweave.llm.common import hash32, slices, tidy, unit
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents to take passages from, drawn by a hash of doc_id, and passages to learn from.
@@ -280,7 +280,7 @@ def labelled_passages(docs: DataFrame) -> DataFrame:
     labelled by the rules."""
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             words, labels = [], []
             for text in batch.column(0).to_pylist():
                 spans = rule_spans(text)
@@ -296,7 +296,7 @@ def labelled_passages(docs: DataFrame) -> DataFrame:
     total = docs.count()
     drawn = docs.where(unit(F.lit("pii"), F.col("doc_id")) < SAMPLE_DOCUMENTS / max(total, 1))
     made = drawn.where("text IS NOT NULL AND text RLIKE '[0-9@]'").select("text").mapInArrow(
-        label, "words array<string>, labels array<long>"
+        tidy(label), "words array<string>, labels array<long>"
     )
     order = hash32(F.concat_ws(" ", "words"))
     return made.distinct().orderBy(order, "words", "labels").limit(SAMPLE_PASSAGES)
@@ -315,7 +315,7 @@ def _each_text(docs: DataFrame, field: Field | None, work, fields: T.StructType,
     place, out = docs.columns.index("text"), [c for c in docs.columns if keep_text or c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             given = batch.column(1).to_pylist()
             texts = [text or "" for text in given]
             rules = [rule_spans(text) for text in texts]
@@ -329,7 +329,7 @@ def _each_text(docs: DataFrame, field: Field | None, work, fields: T.StructType,
                 yield pa.RecordBatch.from_arrays([*columns, made], [*out, "pii"])
 
     rows = docs.select(F.struct(*names).alias("kept"), "text")
-    return rows.mapInArrow(run, fields)
+    return rows.mapInArrow(tidy(run), fields)
 
 
 _ARROW = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("stop", pa.int32()), ("base", pa.bool_())]))
