@@ -181,7 +181,7 @@ def pieces(docs: DataFrame, tokenizer: str, longest: int, with_ids: bool) -> Dat
                     start += length
                 if with_ids:
                     held.append(ids)
-                if len(rows) > 20_000 or sum(map(len, held)) > 4_000_000:
+                if len(rows) > 20_000 or sum(map(len, held)) > 1_000_000:
                     yield as_batch(rows, held)
                     rows, held = [], []
             yield as_batch(rows, held)
