@@ -12,17 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimweave.llm.common import tidy, unit
+from claimweave.llm.common import slices as batch_slices
+from claimweave.llm.common import tidy, written
+from claimweave.llm.order import in_order, with_places
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
-#: Labelled documents to learn from for each language, drawn by a hash of doc_id: all
-#: of them, or about this many where there are more.
-SAMPLE_PER_LANGUAGE = 4000
-#: Held-out labelled documents that a language's bounds are taken from, about; a language
-#: with less than the least has none.
-FIT_SAMPLE, LEAST_FIT = 1000, 20
+#: Languages whose counts a task holds at once.
+HELD_LANGUAGES = 64
+#: A language with fewer held-out labelled parts of a length has no bound there.
+LEAST_FIT = 20
 #: Code points of the parts of texts that bounds are taken for.
 FIT_LENGTHS = (8, 16, 32, 64, 128, 256, 512, 1024)
 #: A bound is so many times as far below the median as the hundredth part is, which is
@@ -88,7 +88,20 @@ def train(labelled: DataFrame) -> Model:
     each language and used bucket.  Raises ``ValueError`` without a labelled text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        held: dict[str, np.ndarray] = {}
+
+        def summed() -> pa.RecordBatch:
+            used = [np.flatnonzero(counts) for counts in held.values()]
+            lang = np.repeat(np.arange(len(held)), [len(buckets) for buckets in used])
+            bucket, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if held:
+                bucket = np.concatenate(used)
+                n = np.concatenate([counts[buckets] for counts, buckets in zip(held.values(), used)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.string()).take(pa.array(lang, pa.int64())), pa.array(bucket), pa.array(n)], ["lang", "bucket", "n"]
+            )
+
+        for batch in batch_slices(batches):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             known = sorted(set(langs))
             place = np.array([known.index(lang) for lang in langs], np.int64)
@@ -96,11 +109,12 @@ def train(labelled: DataFrame) -> Model:
             for codes, owner in slices(texts):
                 for bucket, text in grams(codes, owner):
                     counts += np.bincount(place[text] * BUCKETS + bucket, minlength=len(counts))
-            used = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(known, pa.string()).take(pa.array(used // BUCKETS)), pa.array(used % BUCKETS), pa.array(counts[used])],
-                ["lang", "bucket", "n"],
-            )
+            for lang, own in zip(known, counts.reshape(-1, BUCKETS)):
+                held[lang] = held[lang] + own if lang in held else own.copy()
+            if len(held) > HELD_LANGUAGES:
+                yield summed()
+                held.clear()
+        yield summed()
 
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     counted = rows.mapInArrow(tidy(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -146,41 +160,44 @@ def scores(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.n
 def fit_bounds(docs: DataFrame, model: Model) -> np.ndarray:
     """For each length of FIT_LENGTHS and each language of the model, the mean
     log-probability for an n-gram below which a text of that length or more isn't of the
-    language.  It is taken from labelled documents that the model hasn't learned from."""
+    language.  It is taken from all labelled documents that the model hasn't learned from;
+    their quantiles are exact, found by the places of the sorted values."""
     known = docs.where(is_held_out()).where("lang IS NOT NULL AND text IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    # a row for each language
-    drawn = known.join(F.broadcast(sizes), "lang").where(
-        unit(F.lit("langfit"), F.col("doc_id")) < F.lit(FIT_SAMPLE) / F.col("_n")
-    )
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in batch_slices(batches):
             place = [model.languages.index(x) if x in model.languages else -1 for x in batch.column(0).to_pylist()]
+            texts = batch.column(1).to_pylist()
             for i, length in enumerate(FIT_LENGTHS):
                 # the beginning and the middle; a shorter text is measured as it is
                 parts, own = [], []
-                for at, text in zip(place, batch.column(1).to_pylist()):
+                for at, text in zip(place, texts):
                     if at >= 0:
                         parts += [text[:length], text[len(text) // 2 :][:length]] if len(text) > length else [text]
                         own += [at] * (len(parts) - len(own))
                 total, n = totals(model, parts)
                 own = np.array(own, np.int64)
                 fit = total[np.arange(len(parts)), own] / np.maximum(n, 1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i)), pa.array(own), pa.array(fit)], ["length", "lang", "fit"])
-
-    # at most a few thousand rows for each language
-    found = drawn.select("lang", "text").mapInArrow(tidy(measure), "length long, lang long, fit double").toArrow()
-    length, lang, fit = (found[c].to_numpy() for c in ("length", "lang", "fit"))
+                yield pa.RecordBatch.from_arrays([pa.array(i * len(model.languages) + own), pa.array(fit)], ["cell", "fit"])
+
+    found = written(known.select("lang", "text").mapInArrow(tidy(measure), "cell long, fit double"), "language-fits")
+    placed = with_places(in_order(found, ["cell", "fit"], "language-fits-in-order"), "cell").where(F.col("total") >= LEAST_FIT)
+    # the two values that each quantile lies between, for each length and language
+    at = {name: F.lit(share) * (F.col("total") - 1) for name, share in (("low", 0.01), ("middle", 0.5))}
+    near = [F.col("position").isin(F.floor(x), F.ceil(x)) for x in at.values()]
+    cells: dict[int, dict[str, float]] = {}
+    for row in placed.where(near[0] | near[1]).select("cell", "position", "fit", *[x.alias(name) for name, x in at.items()]).collect():
+        for name in at:
+            weight = 1 - abs(row.position - row[name])
+            if weight > 0:
+                cell = cells.setdefault(row.cell, dict.fromkeys(at, 0.0))
+                cell[name] += weight * row.fit
     bounds = np.full((len(FIT_LENGTHS), len(model.languages)), -np.inf)
-    for i in range(len(FIT_LENGTHS)):
-        for j in range(len(model.languages)):
-            own = fit[(length == i) & (lang == j)]
-            if len(own) >= LEAST_FIT:
-                low, middle = np.quantile(own, [0.01, 0.5])
-                bounds[i, j] = middle - FIT_REACH * max(middle - low, FIT_SPREAD)
+    for cell, value in cells.items():
+        spread = max(value["middle"] - value["low"], FIT_SPREAD)
+        bounds[divmod(cell, len(model.languages))] = value["middle"] - FIT_REACH * spread
     return bounds
 
 
@@ -209,14 +226,9 @@ def is_held_out() -> Column:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """The bounded sample of ``docs`` (doc_id, text, lang) to learn from."""
-    known = docs.where(~is_held_out()).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    # a row for each language
-    drawn = known.join(F.broadcast(sizes), "lang").where(
-        unit(F.lit("langid"), F.col("doc_id")) < F.lit(SAMPLE_PER_LANGUAGE) / F.col("_n")
-    )
-    return drawn.select("lang", "text")
+    """The rows of ``docs`` (doc_id, text, lang) to learn from: all labelled ones but the
+    held-out."""
+    return docs.where(~is_held_out()).where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
 
 
 def identify(docs: DataFrame, model: Model | None, bounds: np.ndarray | None = None) -> DataFrame:
@@ -236,7 +248,7 @@ def identify(docs: DataFrame, model: Model | None, bounds: np.ndarray | None = N
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
+        for batch in batch_slices(batches):
             known = batch.column(2).to_numpy(zero_copy_only=False)
             texts = [t if k else "" for t, k in zip(batch.column(1).to_pylist(), known)]
             best, score, fit, n = scores(model, texts)
@@ -255,6 +267,6 @@ def identify(docs: DataFrame, model: Model | None, bounds: np.ndarray | None = N
 
 
 def fitted(docs: DataFrame) -> Model | None:
-    """The model of the sample of ``docs``; None without a labelled text."""
+    """The model of all labelled rows of ``docs`` that aren't held out; None without one."""
     rows = training_rows(docs)
     return train(rows) if rows.limit(1).count() else None

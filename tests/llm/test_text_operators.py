@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +47,32 @@ def test_texts_of_no_known_language_go(spark, documents):
     assert len(kept & set(range(600))) >= 597
 
 
+def test_model_and_bounds_come_from_all_labelled_documents(spark, documents):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, "abcdeaei", rng.choice([1, 2, 3, 12])), "aa" if i else "bb", "s") for i in range(7000)]
+    docs = documents(*rows)
+    held = {r.doc_id for r in docs.where(langid.is_held_out()).collect()}
+    learned = [(lang, text) for i, text, lang, _ in rows if i not in held]
+    assert len(learned) > 5000 and len(held) > 1500
+    model = langid.fitted(docs)
+    assert abs(np.exp(model.log_prior[model.languages.index("aa")]) - sum(lang == "aa" for lang, _ in learned) / len(learned)) < 1e-9
+    counts = np.zeros(langid.BUCKETS)
+    for codes, owner in langid.slices([text for lang, text in learned if lang == "aa"]):
+        for bucket, _ in langid.grams(codes, owner):
+            counts += np.bincount(bucket, minlength=len(counts))
+    smoothed = counts + langid.SMOOTHING
+    assert np.allclose(model.log_probability[:-1, model.languages.index("aa")], np.log(smoothed / smoothed.sum()), atol=1e-5)
+    bounds = langid.fit_bounds(docs, model)
+    own = [text for i, text, lang, _ in rows if i in held and lang == "aa"]
+    for i, length in enumerate(langid.FIT_LENGTHS):
+        parts = [part for text in own for part in ([text[:length], text[len(text) // 2 :][:length]] if len(text) > length else [text])]
+        total, n = langid.totals(model, parts)
+        low, middle = np.quantile(total[:, model.languages.index("aa")] / n, [0.01, 0.5])
+        expected = middle - langid.FIT_REACH * max(middle - low, langid.FIT_SPREAD)
+        assert abs(bounds[i, model.languages.index("aa")] - expected) < 1e-9
+    assert "bb" not in model.languages or (bounds[:, model.languages.index("bb")] == -np.inf).all()
+
+
 def test_long_text_scores_as_the_sum_of_its_n_grams(monkeypatch):
     rng = random.Random(2)
     text = prose(rng, "abcdeéß", 400)
