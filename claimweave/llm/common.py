@@ -86,6 +86,14 @@ def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
     return run
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on the session hands Python workers at most ``rows`` rows at once: with
+    long texts, Spark's default is more than an executor and its workers can spare."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``rows`` rows and about ``size`` bytes."""
     for batch in batches:

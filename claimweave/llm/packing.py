@@ -27,7 +27,7 @@ END_ID = 1
 #: Distinct words that a worker remembers; then it starts afresh.
 KNOWN_WORDS = 1_000_000
 #: Bytes of text that are looked up at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 #: Byte-level BPE writes a byte as the Latin-1 character if that is visible, else as the
 #: next free character from U+0100.

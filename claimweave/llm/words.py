@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of a piece of a long text.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20250311)
 _VALUES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimweave.llm import jaccard, langid, mixing, packing, pii
-from claimweave.llm.common import broadcast_if_small, remove, shared_folder, written
+from claimweave.llm.common import broadcast_if_small, remove, shared_folder, small_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,6 +21,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     that fit no known language, by bounds from labelled documents.  Where no document has
     a label, only the former go; a text of less than eight code points, or one in a
     language with few labelled documents, isn't held to a bound."""
+    small_batches(spark)
     model = langid.fitted(docs)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -34,6 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     that repeat a doc_id with an equal set one stays, the first by its columns; other
     texts of that doc_id are documents of their own.  Rows without a doc_id can't be told
     apart and stay."""
+    small_batches(spark)
     parts = written(jaccard.leaders(docs).where("doc_id IS NOT NULL"), "leaders")
     by_id = parts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"), F.max("leads").alias("_leads"))
     others = by_id.where("_rows > 1 OR NOT _leads").select("doc_id")
@@ -51,6 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by the name of its kind."""
+    small_batches(spark)
     return pii.redact(docs, pii.fitted(docs.select("doc_id", "text")))
 
 
@@ -61,6 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids of power-of-two lengths."""
+    small_batches(spark)
     return packing.pack(docs, with_ids=True)
 
 
