@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from claimweave.functions.casts import apply_layout, safe_to_int
-from claimweave.operators.keys import first_per_key
+from claimweave.operators.keys import first_per_key, least_per_key
 from claimweave.sources.layouts import (
     BENEFICIARY,
     PDE,
@@ -26,18 +26,20 @@ def stage_snapshots(*raw: DataFrame, layout: Layout = BENEFICIARY) -> DataFrame:
     return apply_layout(together, layout, {"bene_enrollmt_ref_yr": "enrollmt_ref_yr"})
 
 
-def split_header(raw: DataFrame, layout: Layout, key: str = "clm_id") -> DataFrame:
+def split_header(raw: DataFrame, layout: Layout, key: str = "clm_id", made_late: bool = False) -> DataFrame:
     """One typed row per claim, taken from its lowest line.
 
     Rows are reduced while still text, so each claim is cast once and not once
-    per line.
+    per line.  ``made_late`` is for a wide ``raw`` that is a projection of a stored
+    narrow table: claims and line numbers are compared first, and the other columns are
+    made only for lines that are lowest.  The rows are the same.
     """
     fields = header_fields(layout)
     line = line_key(layout)
-    one_each = first_per_key(
-        raw.select(*names(fields), line), [key], [safe_to_int(line).asc_nulls_last()]
-    )
-    return apply_layout(one_each, fields)
+    rows = raw.select(*names(fields), line)
+    if made_late:
+        return apply_layout(least_per_key(rows, key, safe_to_int(line)), fields)
+    return apply_layout(first_per_key(rows, [key], [safe_to_int(line).asc_nulls_last()]), fields)
 
 
 def split_line(raw: DataFrame, layout: Layout, key: str = "clm_id") -> DataFrame:

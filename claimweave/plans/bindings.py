@@ -164,11 +164,10 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.join(header, "o_orderkey").drop("o_orderkey")
 
 
-def wide_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_claims(raw: DataFrame) -> DataFrame:
     """The claim extract in the full width of an inpatient one, 194 columns of text.  Columns
     that orders and lines have nothing for are filled from the claim id, its first day and its
     amount, according to their type."""
-    raw = raw_claims(spark, sf_dir)
     filler = {"D": "clm_from_dt", "N": "clm_pmt_amt"}
     return raw.selectExpr(
         *[

@@ -81,6 +81,26 @@ def test_header_comes_from_the_lowest_line(spark, rows_of):
     assert got == [("1", 7), ("2", 3)]
 
 
+def test_late_columns_give_the_same_headers(spark, rows_of):
+    stored = spark.createDataFrame(
+        [("1", "5", "10"), ("1", "7", "9"), ("1", "8", None), ("2", "3", "bad"), ("2", "4", None), (None, "6", "2"),
+         (None, "9", "1"), ("3", "1", "1"), ("3", "2", " 1"), ("3", "2", " 1"), ("4", "x", None)],
+        "clm_id string, clm_pmt_amt string, clm_line_num string",
+    )
+    raw = stored.selectExpr("clm_id", "concat('-', clm_id) AS bene_id", "clm_pmt_amt", "clm_line_num", "clm_pmt_amt AS hcpcs_cd")
+    late = split_header(raw, LAYOUT, made_late=True)
+    assert late.dtypes == split_header(raw, LAYOUT).dtypes
+    assert rows_of(late) == rows_of(split_header(raw, LAYOUT)) and late.count() == 5
+
+
+def test_wide_headers_are_made_late(spark, tmp_path):
+    table = spark.createDataFrame([("1", "5", "2"), ("1", "6", "1")], "clm_id string, clm_pmt_amt string, clm_line_num string")
+    table.write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw").selectExpr("*", "concat('made', clm_id) AS bene_id", "'' AS hcpcs_cd")
+    plan = split_header(raw, LAYOUT, made_late=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("concat(made") < plan.index("LeftSemi")  # nearer to the result
+
+
 def test_rows_are_cut_before_the_shuffle(spark):
     plan = split_header(hot_claims(spark), LAYOUT)._jdf.queryExecution().executedPlan().toString()
     limit = plan.index("Exchange hashpartitioning(clm_id")
