@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,13 +20,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_nth", F.row_number().over(ranked)).where("_nth = 1").drop("_nth")
 
 
-def least_per_key(df: DataFrame, key: str, by: Column) -> DataFrame:
-    """The row of every key with the least ``by`` (NULL last); the same rows as
-    ``first_per_key``, but ``df`` is read three times and no wide row is sorted.
+def least_per_key(df: DataFrame, key: str, by: Column, widen: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The row of every key with the least ``by`` (NULL last), widened; the same rows as
+    ``first_per_key`` over ``widen(df)``, but ``df`` is read three times.
 
-    ``key`` and ``by`` alone tell the least value of each key.  A semi-join keeps its rows,
-    and Spark moves that below the projection which makes the other columns.  Only where
-    several rows have the least value, a hash over the whole row decides between them.
+    ``widen`` makes a wide row of each row by itself and keeps ``key``.  ``key`` and ``by``
+    alone tell the least value of each key, so only rows that have it are widened.  Where
+    several have it, a hash over the whole wide row decides between them.
     """
     values = df.select(F.col(key).alias("_key"), by.alias("_by")).groupBy("_key", "_by").agg(F.count(F.lit(1)).alias("_n"))
     least = values.groupBy("_key").agg(F.min(F.struct(F.col("_by").isNull(), "_by", "_n")).alias("_least"))
@@ -35,11 +35,12 @@ def least_per_key(df: DataFrame, key: str, by: Column) -> DataFrame:
     def kept(which: str) -> DataFrame:
         chosen = least.where(which)
         same = df[key].eqNullSafe(chosen["_key"]) & by.eqNullSafe(chosen["_by"])
-        return df.join(chosen, same, "left_semi")
+        return widen(df.join(chosen, same, "left_semi"))
 
-    columns = df.columns
-    tied = kept("_n > 1").groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row"))
-    return kept("_n = 1").unionByName(tied.select("_row.*"))
+    tied = kept("_n > 1")
+    columns = tied.columns
+    first = tied.groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row"))
+    return kept("_n = 1").unionByName(first.select("_row.*"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -26,20 +27,23 @@ def stage_snapshots(*raw: DataFrame, layout: Layout = BENEFICIARY) -> DataFrame:
     return apply_layout(together, layout, {"bene_enrollmt_ref_yr": "enrollmt_ref_yr"})
 
 
-def split_header(raw: DataFrame, layout: Layout, key: str = "clm_id", made_late: bool = False) -> DataFrame:
+def split_header(
+    raw: DataFrame, layout: Layout, key: str = "clm_id", widen: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """One typed row per claim, taken from its lowest line.
 
     Rows are reduced while still text, so each claim is cast once and not once
-    per line.  ``made_late`` is for a wide ``raw`` that is a projection of a stored
-    narrow table: claims and line numbers are compared first, and the other columns are
-    made only for lines that are lowest.  The rows are the same.
+    per line.  With ``widen``, ``raw`` is a narrow table that has at least the claim and
+    the line number, and ``widen`` makes the layout's columns, row by row; it is applied
+    to the lowest lines alone.  The rows are those of ``split_header(widen(raw), ...)``.
     """
     fields = header_fields(layout)
     line = line_key(layout)
-    rows = raw.select(*names(fields), line)
-    if made_late:
-        return apply_layout(least_per_key(rows, key, safe_to_int(line)), fields)
-    return apply_layout(first_per_key(rows, [key], [safe_to_int(line).asc_nulls_last()]), fields)
+    if widen:
+        one_each = least_per_key(raw, key, safe_to_int(line), lambda rows: widen(rows).select(*names(fields), line))
+    else:
+        one_each = first_per_key(raw.select(*names(fields), line), [key], [safe_to_int(line).asc_nulls_last()])
+    return apply_layout(one_each, fields)
 
 
 def split_line(raw: DataFrame, layout: Layout, key: str = "clm_id") -> DataFrame:

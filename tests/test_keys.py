@@ -87,8 +87,9 @@ def test_late_columns_give_the_same_headers(spark, rows_of):
          (None, "9", "1"), ("3", "1", "1"), ("3", "2", " 1"), ("3", "2", " 1"), ("4", "x", None)],
         "clm_id string, clm_pmt_amt string, clm_line_num string",
     )
-    raw = stored.selectExpr("clm_id", "concat('-', clm_id) AS bene_id", "clm_pmt_amt", "clm_line_num", "clm_pmt_amt AS hcpcs_cd")
-    late = split_header(raw, LAYOUT, made_late=True)
+    def widen(rows):
+        return rows.selectExpr("clm_id", "concat('-', clm_id) AS bene_id", "clm_pmt_amt", "clm_line_num", "clm_pmt_amt AS hcpcs_cd")
+    raw, late = widen(stored), split_header(stored, LAYOUT, widen=widen)
     assert late.dtypes == split_header(raw, LAYOUT).dtypes
     assert rows_of(late) == rows_of(split_header(raw, LAYOUT)) and late.count() == 5
 
@@ -96,8 +97,9 @@ def test_late_columns_give_the_same_headers(spark, rows_of):
 def test_wide_headers_are_made_late(spark, tmp_path):
     table = spark.createDataFrame([("1", "5", "2"), ("1", "6", "1")], "clm_id string, clm_pmt_amt string, clm_line_num string")
     table.write.parquet(f"{tmp_path}/raw")
-    raw = spark.read.parquet(f"{tmp_path}/raw").selectExpr("*", "concat('made', clm_id) AS bene_id", "'' AS hcpcs_cd")
-    plan = split_header(raw, LAYOUT, made_late=True)._jdf.queryExecution().optimizedPlan().toString()
+    def widen(rows):
+        return rows.selectExpr("*", "concat('made', clm_id) AS bene_id", "'' AS hcpcs_cd")
+    plan = split_header(spark.read.parquet(f"{tmp_path}/raw"), LAYOUT, widen=widen)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("concat(made") < plan.index("LeftSemi")  # nearer to the result
 
 
