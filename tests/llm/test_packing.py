@@ -76,3 +76,19 @@ def test_binary_lengths():
 
 def test_empty_table(spark, documents):
     assert packing.pack(documents().limit(0)).count() == 0
+
+
+def test_stages_of_the_pipeline_hand_over_small_batches(spark, documents):
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        corpus_pipeline.mask_personal_data(spark, documents((1, "call +44 20 7946 0958")), "")
+        assert int(spark.conf.get(name)) == 1000
+        spark.conf.set(name, "200")
+        corpus_pipeline.mask_personal_data(spark, documents((1, "call +44 20 7946 0958")), "")
+        assert int(spark.conf.get(name)) == 200
+    finally:
+        spark.conf.set(name, before)
